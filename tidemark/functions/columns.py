@@ -26,6 +26,23 @@ def column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def number_or_null(text: Column, kind: str) -> Column:
+    """Text as a number, NULL when it is none.
+
+    A cheap pattern skips text that cannot be a number: a failed parse costs an
+    exception per row.
+    """
+    may_parse = text.rlike("[0-9]") if kind in ("int", "bigint") else text.rlike("(?i)[0-9]|inf|nan")
+    return F.when(may_parse, text.try_cast(kind))
+
+
+def _mapped_value(source: str, source_kind: str, kind: str) -> Column:
+    kind = {"long": "bigint", "integer": "int"}.get(kind, kind)
+    if source_kind == "string" and kind in ("int", "bigint", "double"):
+        return number_or_null(F.col(source), kind)
+    return F.col(source).try_cast(kind)
+
+
 def apply_mapping(df: DataFrame, mappings: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """Rename and cast by ``(source, source type, target, target type)``.
 
@@ -33,7 +50,7 @@ def apply_mapping(df: DataFrame, mappings: Sequence[tuple[str, str, str, str]])
     becomes NULL. Back-quote a source whose name holds dots or brackets.
     """
     return df.select(
-        *[F.col(src).try_cast("bigint" if kind == "long" else kind).alias(dst) for src, _, dst, kind in mappings]
+        *[_mapped_value(src, src_kind, kind).alias(dst) for src, src_kind, dst, kind in mappings]
     )
 
 

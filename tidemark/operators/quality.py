@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
+from tidemark.functions.columns import number_or_null
 from tidemark.functions.numbers import money
 
 # Allowed subscriptions and age bounds (both bounds pass).
@@ -68,8 +69,10 @@ def status_counts(df: DataFrame) -> DataFrame:
 
 def _as_number(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
-    if isinstance(kind, NumericType | BooleanType | StringType):
-        return F.col(f"`{name}`").try_cast("double")
+    if isinstance(kind, StringType):
+        return number_or_null(F.col(f"`{name}`"), "double")
+    if isinstance(kind, NumericType | BooleanType):
+        return F.col(f"`{name}`").cast("double")
     return F.lit(None).cast("double")
 
 

@@ -36,15 +36,14 @@ def keyword_search(df: DataFrame, text: Column, query: str, tie_break: Sequence[
     hits = F.lit(0)
     for token in tokens:
         hits = hits + F.when(F.contains(F.col("_text"), F.lit(token)), 1).otherwise(0)
-    found = (
+    ranked = (
         df.withColumn("_text", text)
-        .withColumn("_hits", hits)
-        .filter("_hits > 0")
-        .withColumn("score", F.col("_hits") / F.lit(len(tokens)))
-        .drop("_text", "_hits")
+        .withColumn("score", hits / F.lit(len(tokens)))
+        .drop("_text")
         .orderBy(F.desc("score"), *tie_break)
     )
-    return found.limit(k) if k is not None else found
+    # Filtering after the cut scores each text once; rows without a hit rank last anyway.
+    return (ranked.limit(k) if k is not None else ranked).filter("score > 0")
 
 
 def catalog_text() -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import compact_number, percent_text
-from tidemark.functions.numbers import exact_avg, exact_sum, money, net_price
+from tidemark.functions.numbers import exact_avg, exact_sum, exact_total, net_units, sum_units, units
 from tidemark.functions.times import month_key
 from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
@@ -23,7 +23,11 @@ def money_sql(name: str) -> str:
 
 def _sales_events(t):
     rows = clickstream(t).select("event_id", "device", "ecommerce.unit", "ecommerce.price", "event_name", "traffic_source")
-    return rows.withColumn("sales_amount", (money("price") * F.col("unit")).cast("decimal(18,2)"))
+    return rows.withColumn("sales_units", units("price") * F.col("unit"))
+
+
+def _sales():
+    return sum_units(F.col("sales_units")).cast("double")
 
 
 _SALES_SQL = "CAST(price AS DECIMAL(18,2)) * CAST(unit AS DECIMAL(10,0))"
@@ -34,8 +38,7 @@ _SALES_SQL = "CAST(price AS DECIMAL(18,2)) * CAST(unit AS DECIMAL(10,0))"
     f"WITH {CLICKSTREAM_SQL} SELECT device, CAST(SUM({_SALES_SQL}) AS DOUBLE) AS total_sales FROM clickstream GROUP BY device",
 )
 def sales_by_key(t):
-    total = {"total_sales": exact_sum("sales_amount")}
-    return A.grouped(_sales_events(t), ["device"], total, ["total_sales"])
+    return A.grouped(_sales_events(t), ["device"], {"total_sales": _sales()}, ["total_sales"])
 
 
 @query(
@@ -47,7 +50,8 @@ def sales_by_key(t):
     """,
 )
 def revenue_stats(t):
-    measures = {"sum_rev": exact_sum("sales_amount"), "avg_rev": exact_avg("sales_amount")}
+    average = F.try_divide(_sales(), F.count("sales_units").cast("double"))
+    measures = {"sum_rev": _sales(), "avg_rev": average}
     return A.grouped(_sales_events(t), ["device"], measures)
 
 
@@ -57,10 +61,10 @@ _BY_SQL = """CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS tota
 
 
 def _aggregated(t, groups):
-    rows = t("lineitem").withColumn("l_extendedprice", money("l_extendedprice"))
+    rows = t("lineitem").withColumn("l_extendedprice", units("l_extendedprice").cast("decimal(18,0)"))
     return A.aggregate(rows, groups, _BY_AGGS).select(
         *groups,
-        F.col("`sum(l_extendedprice)`").cast("double").alias("total_price"),
+        (F.col("`sum(l_extendedprice)`") / 100).cast("double").alias("total_price"),
         F.col("`max(l_quantity)`").alias("max_quantity"),
         F.col("`count_distinct(l_partkey)`").alias("parts"),
         F.col("`count(l_orderkey)`").alias("lines"),
@@ -90,13 +94,14 @@ _KPI_ROW = "CAST(SUM(item_outlet_sales) AS DOUBLE) AS total_sales, COUNT(item_ty
     """,
 )
 def kpi_three_way(t):
-    selection = outlet_sales(t).select(*outlets.SELECTION)
+    """The three KPIs from one pre-aggregate of the selection."""
+    results = outlets.kpis(outlet_sales(t).select(*outlets.SELECTION))
     parts = []
     for name, (groups, total, sold) in outlets.KPIS.items():
         keys = [F.col(g).alias(f"key{i}") for i, g in enumerate(groups, 1)]
         keys += [F.lit(None).cast("string").alias(f"key{i}") for i in range(len(groups) + 1, 4)]
         parts.append(
-            outlets.kpi(selection, name).select(
+            results[name].select(
                 F.lit(name).alias("kpi"), *keys, F.col(total).alias("total_sales"), F.col(sold).alias("items_sold")
             )
         )
@@ -210,7 +215,7 @@ def distinct_entities(t):
 )
 def sales_by_category(t):
     """Lines are summed per part first; the join then sees one row per part."""
-    per_part = t("lineitem").groupBy("l_partkey").agg(F.sum(net_price()).alias("s"))
+    per_part = t("lineitem").groupBy("l_partkey").agg(sum_units(net_units(), 4).alias("s"))
     joined = per_part.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     return A.grouped(
         joined, ["p_type"], {"total_sales": F.sum("s").cast("double")}, [F.desc("total_sales")]
@@ -351,7 +356,7 @@ def active_users(t):
     """,
 )
 def share_of_total(t):
-    per_part = t("lineitem").groupBy("l_partkey").agg(F.sum(money("l_extendedprice")).alias("s"))
+    per_part = t("lineitem").groupBy("l_partkey").agg(exact_total("l_extendedprice").alias("s"))
     joined = per_part.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     brands = joined.groupBy("p_brand").agg(F.sum("s").alias("exact"))
     total = brands.agg(F.sum("exact").cast("double")).scalar()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions.device_events import enriched
-from tidemark.functions.numbers import net_price
+from tidemark.functions.numbers import exact_sum, net_units
 from tidemark.functions.times import GRAINS, date_key, grain_start, within
 from tidemark.operators.sets import union_sources
 from tidemark.plans.registry import query
@@ -51,7 +51,7 @@ def json_extract(t):
 
 @query("line_revenue", f"SELECT l_orderkey, l_linenumber, l_partkey, CAST({NET_SQL} AS DOUBLE) AS revenue FROM lineitem")
 def line_revenue(t):
-    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", net_price().cast("double").alias("revenue"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (net_units() / 10000.0).alias("revenue"))
 
 
 @query(
@@ -199,11 +199,10 @@ RANGES = {
 def time_ranges(t):
     """Each range is a pushed-down filter, so only its row groups are read."""
     orders = t("orders")
-    amount = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
     return union_sources(
         [
             orders.filter(within("o_orderdate", name, day(TODAY))).agg(
-                F.lit(name).alias("range_name"), F.count("*").alias("orders"), amount.alias("amount")
+                F.lit(name).alias("range_name"), F.count("*").alias("orders"), exact_sum("o_totalprice").alias("amount")
             )
             for name in RANGES
         ]
@@ -231,7 +230,7 @@ def null_safe_ratio(t):
     counts = t("customer").groupBy(F.lower("c_mktsegment").alias("segment"), "c_nationkey").agg(
         F.count_if(F.col("c_acctbal") > 9000).alias("rich"),
         F.count_if(F.col("c_acctbal") < -800).alias("poor"),
-        F.sum(F.coalesce(F.col("c_acctbal").cast("decimal(18,2)"), F.lit(0))).cast("double").alias("balance"),
+        exact_sum(F.coalesce("c_acctbal", F.lit(0.0))).alias("balance"),
     )
     return counts.withColumn("rich_per_poor", C.ratio(F.col("rich"), F.col("poor")))
 

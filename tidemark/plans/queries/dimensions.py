@@ -15,7 +15,7 @@ from tidemark.plans.views import (
     CLICKSTREAM_SQL, PRODUCTS_SQL, VERSIONS_SQL, WIDE_SALES_SQL, clickstream, landing_orders, ntz, product_changes,
     products, wide_sales,
 )
-from tidemark.sources.scratch import new_folder
+from tidemark.sources.scratch import new_folder, written
 from tidemark.sources.sinks import put_batch, read_puts
 
 ATTRIBUTES = ["product_name", "category", "price"]
@@ -47,7 +47,7 @@ def surrogate_key(t):
     """,
 )
 def normalise_entities(t):
-    e = warehouse.normalise(wide_sales(t), number_items=False)
+    e = warehouse.normalise(written(wide_sales(t), "wide-sales"), number_items=False)
     shape = lambda df, name, sk, key: df.select(
         F.lit(name).alias("entity"), F.col(sk).alias("sk"), F.col(key).alias("natural_id")
     )
@@ -75,7 +75,8 @@ def normalise_entities(t):
 )
 def star_fact(t):
     """Fact rows whose unit price comes from the product dimension."""
-    fact = warehouse.sales_fact(warehouse.normalise(wide_sales(t), number_items=False))
+    wide = written(wide_sales(t), "wide-sales")
+    fact = warehouse.sales_fact(warehouse.normalise(wide, number_items=False))
     return fact.withColumns({c: F.col(c).cast("double") for c in ("unit_price", "total_sales_amount")})
 
 

@@ -226,7 +226,7 @@ def outlet_sales(t: Tables) -> DataFrame:
             F.col("r_name").alias("outlet_location_type"),
             F.col("n_name").alias("outlet_type"),
             F.col("p_type").alias("item_type"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("item_outlet_sales"),
+            F.col("l_extendedprice").alias("item_outlet_sales"),
         )
     )
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import exact_sum, money
+from tidemark.functions.numbers import exact_sum, units
 from tidemark.functions.times import date_key, month_key
 from tidemark.operators.dimensions import date_dimension, entity, surrogate_key
 from tidemark.operators.ordering import number_rows
@@ -63,14 +63,21 @@ def day_dimension(wide: DataFrame) -> DataFrame:
 
 
 def sales_fact(e: Entities) -> DataFrame:
-    """Star fact. Unit price is the dimension's, and the total follows from it."""
-    customer, product = customer_dimension(e.customers), product_dimension(e.products)
+    """Star fact. Unit price is the dimension's, and the total follows from it.
+
+    Staging and warehouse dimensions meet first, so the items are joined once
+    per dimension.
+    """
+    buyers = e.customers.select("customer_sk", "customer_id").join(
+        customer_dimension(e.customers).select("customer_key", "customer_id"), "customer_id"
+    )
+    goods = e.products.select("product_sk", "product_id").join(
+        product_dimension(e.products).select("product_key", "product_id", "product_price"), "product_id"
+    )
     return (
-        e.order_items.join(e.orders, "order_sk")
-        .join(e.customers.select("customer_sk", F.col("customer_id").alias("_c")), "customer_sk")
-        .join(e.products.select("product_sk", F.col("product_id").alias("_p")), "product_sk")
-        .join(customer.select("customer_key", "customer_id"), F.col("_c") == F.col("customer_id"))
-        .join(product.select("product_key", "product_id", "product_price"), F.col("_p") == F.col("product_id"))
+        e.order_items.join(e.orders.select("order_sk", "order_date", "customer_sk"), "order_sk")
+        .join(buyers.drop("customer_id"), "customer_sk")
+        .join(goods.drop("product_id"), "product_sk")
         .select(
             "order_sk",
             "customer_key",
@@ -89,7 +96,7 @@ def bronze_orders(landing: DataFrame, load_time: Column) -> DataFrame:
         "product_id",
         "customer_id",
         "quantity",
-        (F.col("quantity") * money("price_per_unit")).cast("decimal(20,2)").cast("double").alias("total_price"),
+        (F.col("quantity") * units("price_per_unit") / 100.0).alias("total_price"),
         F.to_date("order_date").alias("order_date"),
         "region",
         load_time.alias("load_timestamp"),
