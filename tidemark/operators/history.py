@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import contains_ignoring_case
 from tidemark.operators.sets import recall
@@ -31,6 +32,11 @@ ERROR_PHRASES = [
 ]
 
 
+def append_history(rows: DataFrame, path: str) -> None:
+    """Add finished runs to the log."""
+    rows.select(*StructType.fromDDL(HISTORY_SCHEMA).names).write.mode("append").parquet(path)
+
+
 def search_history(log: DataFrame, text: str, limit: int = 5) -> DataFrame:
     """Newest successful queries whose text contains ``text``, ignoring case."""
     hit = contains_ignoring_case("user_query", text) & (F.col("execution_success") == 1)

@@ -99,6 +99,7 @@ def _block_search(names: list[int], unit_queries: np.ndarray, k: int):
 def vector_topk(
     vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
     vector_col: str = "embedding", query_id: str = "query_id", query_col: str = "query",
+    where: Column | None = None,
 ) -> DataFrame:
     """Exact cosine top-k for every query vector.
 
@@ -106,9 +107,11 @@ def vector_topk(
     queries only mean more blocks. A task multiplies Arrow batches by the block
     and keeps k rows per query, so the shuffle carries k rows per query and
     task instead of one row per pair. Vectors of another length are no match.
+    ``where`` restricts the vectors, for instance to a namespace.
     """
     total = queries.count()
-    wanted = vectors.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>"))
+    searched = vectors if where is None else vectors.filter(where)
+    wanted = searched.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>"))
     query_rows = queries.select(
         F.col(query_id).cast("bigint").alias("q"), F.col(query_col).cast("array<double>").alias("v")
     )
@@ -129,6 +132,11 @@ def vector_topk(
     return qualify(out, rank, k)
 
 
+def with_metadata(found: DataFrame, vectors: DataFrame, columns: Sequence[str], id_col: str = "vec_id") -> DataFrame:
+    """Matches with stored columns of their vectors."""
+    return found.join(vectors.select(F.col(id_col).alias("vec_id"), *columns), "vec_id")
+
+
 def vector_topk_approximate(
     vectors: DataFrame, query: Sequence[float], k: int, id_col: str = "vec_id",
     vector_col: str = "embedding", bucket_length: float = 0.5, tables: int = 8, seed: int = 7,

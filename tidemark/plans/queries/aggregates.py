@@ -12,9 +12,12 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
 from tidemark.operators.ordering import sequence_block
 from tidemark.operators.sets import union_sources
+from tidemark.operators.topk import top_rows
 from tidemark.plans import outlet_sales as outlets
 from tidemark.plans.registry import query
-from tidemark.plans.views import CLICKSTREAM_SQL, NET_SQL, OUTLET_SALES_SQL, clickstream, ntz, outlet_sales
+from tidemark.plans.views import (
+    CLICKSTREAM_SQL, NET_SQL, OUTLET_SALES_SQL, clickstream, ntz, outlet_sales, placed_orders,
+)
 
 
 def money_sql(name: str) -> str:
@@ -147,13 +150,11 @@ def conversion_rate(t):
     """,
 )
 def avg_amount_by_group(t):
-    customers = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     joined = (
         t("lineitem")
-        .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .filter(F.col("l_extendedprice") > 5000)
+        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(placed_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return joined.groupBy(F.col("n_name").alias("country"), F.col("p_type").alias("category")).agg(
         exact_avg("l_extendedprice").alias("avg_amount")
@@ -170,15 +171,7 @@ def avg_amount_by_group(t):
     """,
 )
 def monthly_rollup(t):
-    places = (
-        t("customer")
-        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "r_name")
-    )
-    joined = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        places, F.col("o_custkey") == F.col("c_custkey")
-    )
+    joined = t("lineitem").join(placed_orders(t, region=True), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.groupBy(
         F.col("l_partkey").alias("product_id"), F.col("r_name").alias("region"), month_key("o_orderdate").alias("month")
     ).agg(
@@ -195,8 +188,8 @@ def monthly_rollup(t):
     """,
 )
 def multi_product_customers(t):
-    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    joined = lines.join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    buyers = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    joined = t("lineitem").join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
     counted = joined.groupBy("c_name").agg(F.count_distinct("l_partkey").alias("unique_products"))
     return counted.filter("unique_products > 1").orderBy(F.desc("unique_products"), "c_name")
 
@@ -479,4 +472,4 @@ def magnitude_outliers(t):
     "SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id LIMIT 10",
 )
 def recent_events(t):
-    return t("events").orderBy(F.desc("ts"), "event_id").limit(10).select("event_id", "user_id", "event_type")
+    return top_rows(t("events"), [F.desc("ts"), "event_id"], 10).select("event_id", "user_id", "event_type")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import joins as J
 from tidemark.operators import sets as S
 from tidemark.operators.search import merged_candidates
+from tidemark.operators.topk import top_rows
 from tidemark.plans.registry import query
 from tidemark.plans.views import CLICKSTREAM_SQL, clickstream
 
@@ -231,12 +232,11 @@ def top3_products(t):
     """Quantities are summed per part before the join, so the join moves one row per part."""
     per_part = t("lineitem").groupBy("l_partkey").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
     named = per_part.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-    return (
-        named.groupBy("p_name").agg(F.sum("q").alias("total_quantity_sold"))
-        .orderBy(F.desc("total_quantity_sold"), "p_name").limit(3)
-    )
+    totals = named.groupBy("p_name").agg(F.sum("q").alias("total_quantity_sold"))
+    return top_rows(totals, [F.desc("total_quantity_sold"), "p_name"], 3)
 
 
 @query("top_customers", "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 5")
 def top_customers(t):
-    return t("customer").select("c_custkey", "c_name", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").limit(5)
+    rows = t("customer").select("c_custkey", "c_name", "c_acctbal")
+    return top_rows(rows, [F.desc("c_acctbal"), "c_custkey"], 5)

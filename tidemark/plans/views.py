@@ -73,12 +73,25 @@ DEVICE_EVENTS_SQL = f"""device_events AS (
   FROM events)"""
 
 
+def placed_orders(t: Tables, region: bool = False) -> DataFrame:
+    """Orders with their buyer and the buyer's place.
+
+    Each dimension is joined as a plain scan, so its size is known when Spark
+    chooses the join, and lines meet orders last: they are shuffled at most once.
+    """
+    joined = (
+        t("orders")
+        .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    return joined.join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")) if region else joined
+
+
 def wide_sales(t: Tables) -> DataFrame:
-    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    buyers = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return (
-        lines.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        t("lineitem")
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(placed_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("o_orderkey").alias("order_id"),
             F.to_date("o_orderdate").alias("order_date"),
@@ -211,15 +224,12 @@ checked AS (
 
 def outlet_sales(t: Tables) -> DataFrame:
     """Outlet sales: lines with their part and the supplier's place."""
-    places = (
-        t("supplier")
-        .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
     return (
         t("lineitem")
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.when(F.col("p_size") > 40, None).when(F.col("p_size") > 20, "Medium").otherwise("Small")
             .alias("outlet_size"),
@@ -240,14 +250,10 @@ OUTLET_SALES_SQL = """outlet_sales AS (
 
 
 def landing_orders(t: Tables) -> DataFrame:
-    places = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(
-        t("region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
     return (
         t("lineitem")
-        .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("o_custkey") == F.col("c_custkey"))
+        .join(placed_orders(t, region=True), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("o_orderkey").cast("string").alias("order_id"),
             F.col("p_partkey").cast("string").alias("product_id"),

@@ -11,6 +11,8 @@ from tidemark.functions.numbers import exact_sum, units
 from tidemark.functions.times import date_key, month_key
 from tidemark.operators.dimensions import date_dimension, entity, surrogate_key
 from tidemark.operators.ordering import number_rows
+from tidemark.sources.scratch import written
+from tidemark.sources.sinks import create_or_replace, insert_append, insert_overwrite
 
 
 @dataclass(frozen=True)
@@ -28,12 +30,17 @@ PRODUCT_ATTRIBUTES = ["product_name", "product_category", "product_price"]
 def normalise(wide: DataFrame, number_items: bool = True) -> Entities:
     """Customers, products, orders and items of a wide sales table, keyed from 1.
 
+    Customers and orders both come from the distinct order heads, which are
+    written once: the wide table is read for heads, products and items only.
     Item keys need no order, so items are numbered where they lie;
     ``number_items=False`` leaves them without a key.
     """
-    customers = entity(wide, "customer_id", CUSTOMER_ATTRIBUTES, "customer_sk")
+    heads = written(
+        wide.select("order_id", "order_date", "customer_id", *CUSTOMER_ATTRIBUTES).distinct(), "order-heads"
+    )
+    customers = entity(heads, "customer_id", CUSTOMER_ATTRIBUTES, "customer_sk")
     products = entity(wide, "product_id", PRODUCT_ATTRIBUTES, "product_sk")
-    placed = wide.select("order_id", "order_date", "customer_id").distinct()
+    placed = heads.select("order_id", "order_date", "customer_id").distinct()
     orders = surrogate_key(
         placed.join(customers.select("customer_id", "customer_sk"), "customer_id").drop("customer_id").distinct(),
         "order_sk", ["order_id", "order_date", "customer_sk"],
@@ -109,3 +116,19 @@ def monthly_sales(bronze: DataFrame) -> DataFrame:
         exact_sum("total_price").alias("total_sales"),
         F.sum("quantity").cast("bigint").alias("total_quantity"),
     )
+
+
+def load_monthly(
+    landing: DataFrame, load_time: Column, bronze_table: str, monthly_table: str, append: bool = False,
+) -> None:
+    """Replace the bronze table, then load the monthly table from it.
+
+    A re-run leaves the same monthly rows; ``append`` adds them again, as a
+    plain insert would.
+    """
+    spark = landing.sparkSession
+    create_or_replace(bronze_orders(landing, load_time), bronze_table)
+    monthly = monthly_sales(spark.table(bronze_table))
+    if not spark.catalog.tableExists(monthly_table):
+        create_or_replace(monthly.limit(0), monthly_table)
+    (insert_append if append else insert_overwrite)(monthly, monthly_table)

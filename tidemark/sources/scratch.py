@@ -24,7 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    """Fresh folder below one folder per application, which can go when the application ends."""
+    owner = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/tidemark/{owner}/{purpose}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
