@@ -15,7 +15,7 @@ from tidemark.plans.views import ntz
 NAMES = ["product_name", "category", "price"]
 RAW = "product_id string, product_name string, category string, price decimal(10,2), updated string"
 OLD, NOW = "2024-01-02 00:00:00", "2024-06-01 00:00:00"
-FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+FEW = settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 
 INITIAL = [
     ("P001", "Laptop Pro 15", "Electronics", "1200.00", "2024-01-01 10:00:00"),

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
 from tidemark.functions.times import grain_start
-from tidemark.operators.dimensions import scd1_merge
 from tidemark.operators.joins import JOIN_TYPES
 
 METRIC_SCHEMA = (

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import exact_sum, money
 from tidemark.operators import quality as Q
 from tidemark.operators.ledger import balances
-from tidemark.operators.sets import union_sources
 from tidemark.plans.registry import query
 from tidemark.plans.views import (
     ORDER_MESSAGES_SQL, SUBSCRIBERS_SQL, day, ntz, order_messages, subscribers,
