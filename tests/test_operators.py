@@ -24,7 +24,7 @@ def skewed(spark, n=3000):
     return spark.range(n).select(
         F.when(F.col("id") % 5 < 2, 0).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 11).alias("k"),
         F.col("id").alias("seq"),
-        ((F.col("id") * 37) % 101 - 50).alias("v"),
+        F.when(F.col("id") % 13 != 0, (F.col("id") * 37) % 101 - 50).alias("v"),
     )
 
 

@@ -64,22 +64,27 @@ def running_total(
     the day and then a block of a sequence number. The sum of all earlier steps
     is computed on pre-aggregated rows and enters each step as a first row, so
     only the rows inside one step are sorted together. Exact for any key
-    distribution, NULL keys included.
+    distribution, NULL keys and values included.
     """
+    return _running(df, keys, levels, order_by, value, out, Window.currentRow)
+
+
+def _running(
+    df: DataFrame, keys: Sequence[str], levels: Sequence[tuple[str, Column]],
+    order_by: Sequence[Column | str], value: Column, out: str, last: int,
+) -> DataFrame:
     rows = df.withColumns({"_value": value, "_row": F.lit(True), **dict(levels)})
     groups = [*keys, *[name for name, _ in levels]]
     if levels:
         steps = rows.groupBy(*groups).agg(F.sum("_value").alias("_sum"))
         outer = [(name, F.col(name)) for name, _ in levels[:-1]]
-        upto = running_total(steps, keys, outer, [levels[-1][0]], F.col("_sum"), "_upto")
-        seeds = upto.select(
-            *groups, (F.col("_upto") - F.col("_sum")).alias("_value"), F.lit(False).alias("_row")
-        )
+        earlier = _running(steps, keys, outer, [levels[-1][0]], F.col("_sum"), "_before", -1)
+        seeds = earlier.select(*groups, F.col("_before").alias("_value"), F.lit(False).alias("_row"))
         rows = rows.unionByName(seeds, allowMissingColumns=True)
     inside = (
         (Window.partitionBy(*groups) if groups else Window)
         .orderBy("_row", *order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, last)
     )
     return (
         rows.withColumn(out, F.sum("_value").over(inside))

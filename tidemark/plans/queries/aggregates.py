@@ -49,7 +49,7 @@ def sales_by_key(t):
     f"""
     WITH {CLICKSTREAM_SQL}
     SELECT device, CAST(SUM({_SALES_SQL}) AS DOUBLE) AS sum_rev,
-           CAST(SUM({_SALES_SQL}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_rev FROM clickstream GROUP BY device
+           CAST(SUM({_SALES_SQL}) AS DOUBLE) / CAST(COUNT({_SALES_SQL}) AS DOUBLE) AS avg_rev FROM clickstream GROUP BY device
     """,
 )
 def revenue_stats(t):
@@ -143,7 +143,7 @@ def conversion_rate(t):
 @query(
     "avg_amount_by_group",
     f"""
-    SELECT n_name AS country, p_type AS category, {money_sql('l_extendedprice')} / CAST(COUNT(*) AS DOUBLE) AS avg_amount
+    SELECT n_name AS country, p_type AS category, {money_sql('l_extendedprice')} / CAST(COUNT(l_extendedprice) AS DOUBLE) AS avg_amount
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON c_custkey = o_custkey
     JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
     WHERE l_extendedprice > 5000 GROUP BY ALL
@@ -295,7 +295,7 @@ def orders_per_channel(t):
 @query(
     "avg_order_by_segment",
     f"""
-    SELECT c_mktsegment AS segment, {money_sql('o_totalprice')} / CAST(COUNT(*) AS DOUBLE) AS avg_order_value, COUNT(*) AS orders
+    SELECT c_mktsegment AS segment, {money_sql('o_totalprice')} / CAST(COUNT(o_totalprice) AS DOUBLE) AS avg_order_value, COUNT(*) AS orders
     FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL
     """,
 )
@@ -343,9 +343,9 @@ def active_users(t):
 @query(
     "share_of_total",
     f"""
-    SELECT p_brand, {money_sql('l_extendedprice')} AS sales,
-           {money_sql('l_extendedprice')} / (SELECT {money_sql('l_extendedprice')} FROM lineitem) AS share
-    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand
+    WITH b AS (SELECT p_brand, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS s
+               FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand)
+    SELECT p_brand, CAST(s AS DOUBLE) AS sales, CAST(s AS DOUBLE) / CAST(SUM(s) OVER () AS DOUBLE) AS share FROM b
     """,
 )
 def share_of_total(t):

@@ -162,7 +162,7 @@ def event_priority(t):
     f"""
     WITH {_ENRICHED_SQL}
     SELECT event_id, status, event_type, status_transformed, event_type_transformed, latitude, longitude,
-           CASE WHEN latitude > 0 THEN 'Northern Hemisphere' ELSE 'Southern Hemisphere' END || ', ' ||
+           CASE WHEN latitude IS NULL OR longitude IS NULL THEN NULL ELSE '' END || CASE WHEN latitude > 0 THEN 'Northern Hemisphere' ELSE 'Southern Hemisphere' END || ', ' ||
            CASE WHEN longitude > 0 THEN 'Eastern' ELSE 'Western' END AS region,
            CAST(ROUND(latitude, 2) AS VARCHAR) || '|' || CAST(ROUND(longitude, 2) AS VARCHAR) AS geohash,
            {_PRIORITY_SQL} AS priority_level

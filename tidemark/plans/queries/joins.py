@@ -208,7 +208,7 @@ def date_gaps(t):
     SELECT table_key, name, source, width FROM (
       SELECT LOWER(p_name) AS table_key, name, source, width,
              ROW_NUMBER() OVER (PARTITION BY LOWER(p_name) ORDER BY width DESC, source, name) AS rn
-      FROM (SELECT p_name, p_type || '.' || p_name AS name, p_brand AS source, p_size AS width FROM part))
+      FROM (SELECT p_name, concat_ws('.', p_type, p_name) AS name, p_brand AS source, p_size AS width FROM part))
     WHERE rn = 1
     """,
 )

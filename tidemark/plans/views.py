@@ -23,7 +23,7 @@ def day(text: str) -> Column:
 
 
 def picked(names: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), (index + 1).cast("int"))
+    return F.get(F.array(*[F.lit(n) for n in names]), index.cast("int"))
 
 
 def prop_k() -> Column:
