@@ -20,10 +20,11 @@ def number_rows(
     """Dense consecutive numbers from ``start``, in ``order_by`` order.
 
     Rows are range-partitioned and sorted, numbered inside their partition, and
-    shifted by the row counts of the partitions before. The only thing broadcast
-    is one count per partition. Give a unique ``order_by``, so that equal keys
-    do not pile up in one range. Without ``order_by`` rows are numbered where
-    they are, which needs no shuffle at all.
+    shifted by the row counts of the partitions before. Those counts, one per
+    partition, reach the rows as a scalar subquery, so the result keeps the size
+    statistics of a plain scan for the joins that follow. Give a unique
+    ``order_by``, so that equal keys do not pile up in one range. Without
+    ``order_by`` rows are numbered where they are, which needs no shuffle at all.
     """
     if order_by:
         df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
@@ -33,14 +34,15 @@ def number_rows(
     sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    by_part = shifts.agg(
+        F.map_from_entries(F.collect_list(F.struct("_part", "_shift"))).alias("shift_of"),
+        F.max("_part").alias("last"),
+    ).select(F.transform(F.sequence(F.lit(0).cast("bigint"), "last"), lambda p: F.col("shift_of")[p]))
 
     first = start if isinstance(start, Column) else F.lit(start)
     local = F.col("_at").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return (
-        numbered.join(F.broadcast(shifts), "_part")
-        .withColumn(out, (F.col("_shift") + local + first).cast("bigint"))
-        .drop("_part", "_at", "_shift")
-    )
+    shift = F.get(by_part.scalar(), F.col("_part").cast("int"))
+    return numbered.withColumn(out, (shift + local + first).cast("bigint")).drop("_part", "_at")
 
 
 def exact_median(df: DataFrame, value: str, tie_break: Sequence[str]) -> DataFrame:
