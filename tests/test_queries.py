@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import difference, duck
+import tidemark.plans.queries  # noqa: F401
+from tidemark.plans.registry import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,14 +15,14 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    problem = difference(queries()[name](spark, FOLDER), con, oracle_sql()[name])
+    problem = difference(QUERIES[name](spark, FOLDER), con, SQL[name])
     assert problem in (None, "both sides are empty"), problem
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
 
 
 def test_entry(spark):

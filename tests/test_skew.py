@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from compare import difference, duck
+import tidemark.plans.queries  # noqa: F401
+from tidemark.plans.registry import QUERIES, SQL
 from tidemark.sources.tables import SCHEMAS
 
 SOURCE = "/root/testdata/sf0.001"
@@ -43,7 +44,7 @@ def con(folder):
     return duck(folder)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, folder, con, name):
-    problem = difference(queries()[name](spark, folder), con, oracle_sql()[name])
+    problem = difference(QUERIES[name](spark, folder), con, SQL[name])
     assert problem in (None, "both sides are empty"), problem
