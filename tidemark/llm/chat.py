@@ -67,7 +67,7 @@ def escaped(text: Column, template: Template = DEFAULT) -> Column:
     controls = "|".join(re.escape(c[1:]) for c in template.controls)
     firsts = "".join(re.escape(c) for c in sorted({c[0] for c in template.controls}))
     doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    return F.regexp_replace(doubled, rf"([{firsts}])(?={controls})", "$1\\\\\\\\")
+    return F.regexp_replace(doubled, rf"([{firsts}])(?={controls})", "$1\\\\")
 
 
 def unescaped(text: str) -> str:

@@ -90,8 +90,8 @@ def mix(
     cuts = written(
         placed.select(
             F.col("source").alias("_source"), F.col("_range").alias("_r"), "_before", "_rest", "_epochs", "source_size", "target",
-            (F.col("_before") + F.col("_words") <= F.col("_rest")).alias("_inside"),
-            (F.col("_before") > F.col("_rest")).alias("_outside"),
+            ((F.col("_before") + F.col("_words") <= F.col("_rest")) & (F.col("_rest") > 0)).alias("_inside"),
+            ((F.col("_before") > F.col("_rest")) | (F.col("_rest") <= 0)).alias("_outside"),
         ),
         "cuts",
     )

@@ -193,4 +193,4 @@ def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """
     classes = near_duplicates(docs, doc_id, text)
     drop = classes.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, F.col(doc_id) == F.col("_drop"), "left_anti")
+    return docs.join(drop, docs[doc_id] == drop["_drop"], "left_anti")
