@@ -46,3 +46,17 @@ def test_large_sides_are_not_broadcast(spark, plan):
             assert "BroadcastHashJoin" not in text, name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sums_do_not_round_what_they_add(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.numbers import exact_avg, exact_sum
+    from tidemark.plans.warehouse import bronze_orders
+
+    landing = spark.createDataFrame([("1", "p", "c", 1000, 0.125, "2024-01-02", "r")], "order_id string, product_id string, customer_id string, quantity int, price_per_unit double, order_date string, region string")
+    assert bronze_orders(landing, F.lit("2024-01-01").cast("timestamp")).first().total_price == 125.0
+    sales = spark.createDataFrame([(x,) for x in (3735.138, 443.4228, 2097.27, 732.38, 994.7052)], "v double")
+    assert sales.agg(exact_sum("v")).first()[0] == 8002.916
+    odd = spark.createDataFrame([(1.5,), (float("nan"),), (None,), (float("inf"),)], "v double")
+    assert odd.agg(exact_sum("v"), exact_avg("v")).first() == (1.5, 1.5)

@@ -1,9 +1,11 @@
-"""Exact money arithmetic over double columns.
+"""Sums over double columns that no plan changes.
 
 Sums of doubles depend on the order of the addends, hence on the partitioning.
-Money has few decimals, so it is counted in whole units (cents for scale 2) as
-long integers: any plan gives the same total, and the work stays in generated
-code without per-row decimal objects.
+Measures are therefore counted in whole units of ``10**-SCALE`` as long integers:
+any plan gives the same total, and the work stays in generated code without
+per-row decimal objects. ``SCALE`` leaves room for prices with fractions of a
+cent; products are multiplied first and counted then. NaN, and what is beyond a
+long integer of such units, counts as NULL.
 """
 
 from __future__ import annotations
@@ -14,14 +16,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import column
 
 _LOW_BITS = 20
+SCALE = 6
 
 
-def units(value: Column | str, scale: int = 2) -> Column:
-    """Money as a whole number of ``10**-scale`` units."""
-    return F.rint(column(value) * float(10**scale)).cast("bigint")
+def units(value: Column | str, scale: int = SCALE) -> Column:
+    """Value as a whole number of ``10**-scale`` units."""
+    return F.rint(column(value) * float(10**scale)).try_cast("bigint")
 
 
-def sum_units(whole: Column, scale: int = 2) -> Column:
+def sum_units(whole: Column, scale: int = SCALE) -> Column:
     """Exact decimal sum of unit counts.
 
     High and low bits are added apart, so no long sum overflows however many
@@ -33,16 +36,16 @@ def sum_units(whole: Column, scale: int = 2) -> Column:
     return (total * F.lit(10.0**-scale).cast(f"decimal({scale},{scale})")).cast(f"decimal(36,{scale})")
 
 
-def exact_total(value: Column | str, scale: int = 2) -> Column:
+def exact_total(value: Column | str, scale: int = SCALE) -> Column:
     return sum_units(units(value, scale), scale)
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
+def exact_sum(value: Column | str, scale: int = SCALE) -> Column:
     return exact_total(value, scale).cast("double")
 
 
-def exact_avg(value: Column | str, scale: int = 2) -> Column:
-    return F.try_divide(exact_sum(value, scale), F.count(column(value)).cast("double"))
+def exact_avg(value: Column | str, scale: int = SCALE) -> Column:
+    return F.try_divide(exact_sum(value, scale), F.count(units(value, scale)).cast("double"))
 
 
 def money(value: Column | str, scale: int = 2) -> Column:
@@ -50,6 +53,6 @@ def money(value: Column | str, scale: int = 2) -> Column:
     return column(value).cast(f"decimal(18,{scale})")
 
 
-def net_units() -> Column:
-    """Extended price after discount, in units of four decimals."""
-    return units("l_extendedprice") * (F.lit(100) - units("l_discount"))
+def net_price() -> Column:
+    """Extended price after discount."""
+    return F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))

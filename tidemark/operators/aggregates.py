@@ -33,7 +33,7 @@ def aggregate(df: DataFrame, groups: Sequence[str], aggs: Sequence[tuple[str, st
     Result columns are named ``function(column)``.
     """
     measures = [named_aggregate(func, name).alias(f"{func}({name})") for name, func in aggs]
-    return df.groupBy(*groups).agg(*measures) if groups else df.agg(*measures)
+    return df.groupBy(*groups).agg(*measures)
 
 
 def grouped(

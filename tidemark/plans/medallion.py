@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
-from tidemark.functions.numbers import sum_units, units
+from tidemark.functions.numbers import exact_total
 from tidemark.operators.joins import enrich_campaign
 from tidemark.operators.sets import union_sources
 from tidemark.sources.sinks import export_single_csv, overwrite_layer
@@ -24,7 +24,7 @@ def gold_base(silver_rows: DataFrame, order_event: str = "order placed", cart_ev
     """One pre-aggregated row per device and source; all four KPIs roll up from it."""
     is_order, is_cart = F.col("event_name") == order_event, F.col("event_name") == cart_event
     return silver_rows.groupBy("device", "traffic_source").agg(
-        sum_units(units("price") * F.col("unit")).alias("sales"),
+        exact_total(F.col("price") * F.col("unit")).alias("sales"),
         F.count_if(is_order).alias("orders"),
         F.count_if(is_cart).alias("carts"),
     )

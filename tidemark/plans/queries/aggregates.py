@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import compact_number, percent_text
-from tidemark.functions.numbers import exact_avg, exact_sum, exact_total, net_units, sum_units, units
+from tidemark.functions.numbers import exact_avg, exact_sum, exact_total, net_price
 from tidemark.functions.times import month_key
 from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
@@ -21,19 +21,19 @@ from tidemark.plans.views import (
 
 
 def money_sql(name: str) -> str:
-    return f"CAST(SUM(CAST({name} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({name} AS DECIMAL(24,6))) AS DOUBLE)"
 
 
 def _sales_events(t):
     rows = clickstream(t).select("event_id", "device", "ecommerce.unit", "ecommerce.price", "event_name", "traffic_source")
-    return rows.withColumn("sales_units", units("price") * F.col("unit"))
+    return rows.withColumn("sales", F.col("price") * F.col("unit"))
 
 
 def _sales():
-    return sum_units(F.col("sales_units")).cast("double")
+    return exact_sum("sales")
 
 
-_SALES_SQL = "CAST(price AS DECIMAL(18,2)) * CAST(unit AS DECIMAL(10,0))"
+_SALES_SQL = "CAST(price * unit AS DECIMAL(24,6))"
 
 
 @query(
@@ -53,21 +53,21 @@ def sales_by_key(t):
     """,
 )
 def revenue_stats(t):
-    average = F.try_divide(_sales(), F.count("sales_units").cast("double"))
+    average = exact_avg("sales")
     measures = {"sum_rev": _sales(), "avg_rev": average}
     return A.grouped(_sales_events(t), ["device"], measures)
 
 
 _BY_AGGS = [("l_extendedprice", "sum"), ("l_quantity", "max"), ("l_partkey", "count_distinct"), ("l_orderkey", "count")]
-_BY_SQL = """CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price, MAX(l_quantity) AS max_quantity,
+_BY_SQL = """CAST(SUM(CAST(l_extendedprice AS DECIMAL(24,6))) AS DOUBLE) AS total_price, MAX(l_quantity) AS max_quantity,
        COUNT(DISTINCT l_partkey) AS parts, COUNT(l_orderkey) AS "lines" FROM lineitem"""
 
 
 def _aggregated(t, groups):
-    rows = t("lineitem").withColumn("l_extendedprice", units("l_extendedprice").cast("decimal(18,0)"))
+    rows = t("lineitem").withColumn("l_extendedprice", F.col("l_extendedprice").try_cast("decimal(24,6)"))
     return A.aggregate(rows, groups, _BY_AGGS).select(
         *groups,
-        (F.col("`sum(l_extendedprice)`") / 100).cast("double").alias("total_price"),
+        F.col("`sum(l_extendedprice)`").cast("double").alias("total_price"),
         F.col("`max(l_quantity)`").alias("max_quantity"),
         F.col("`count_distinct(l_partkey)`").alias("parts"),
         F.col("`count(l_orderkey)`").alias("lines"),
@@ -150,14 +150,12 @@ def conversion_rate(t):
     """,
 )
 def avg_amount_by_group(t):
-    joined = (
-        t("lineitem")
-        .filter(F.col("l_extendedprice") > 5000)
-        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(placed_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
-    )
+    """Lines are summed per part and country before the parts join."""
+    sold = t("lineitem").filter(F.col("l_extendedprice") > 5000).join(placed_orders(t), F.col("l_orderkey") == F.col("o_orderkey"))
+    per_part = sold.groupBy("l_partkey", "n_name").agg(exact_total("l_extendedprice").alias("_sum"), F.count("l_extendedprice").alias("_n"))
+    joined = per_part.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     return joined.groupBy(F.col("n_name").alias("country"), F.col("p_type").alias("category")).agg(
-        exact_avg("l_extendedprice").alias("avg_amount")
+        F.try_divide(F.sum("_sum").cast("double"), F.sum("_n").cast("double")).alias("avg_amount")
     )
 
 
@@ -208,7 +206,7 @@ def distinct_entities(t):
 )
 def sales_by_category(t):
     """Lines are summed per part first; the join then sees one row per part."""
-    per_part = t("lineitem").groupBy("l_partkey").agg(sum_units(net_units(), 4).alias("s"))
+    per_part = t("lineitem").groupBy("l_partkey").agg(exact_total(net_price()).alias("s"))
     joined = per_part.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
     return A.grouped(
         joined, ["p_type"], {"total_sales": F.sum("s").cast("double")}, [F.desc("total_sales")]
@@ -343,7 +341,7 @@ def active_users(t):
 @query(
     "share_of_total",
     f"""
-    WITH b AS (SELECT p_brand, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS s
+    WITH b AS (SELECT p_brand, SUM(CAST(l_extendedprice AS DECIMAL(24,6))) AS s
                FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand)
     SELECT p_brand, CAST(s AS DOUBLE) AS sales, CAST(s AS DOUBLE) / CAST(SUM(s) OVER () AS DOUBLE) AS share FROM b
     """,
@@ -386,7 +384,7 @@ def executive_numbers(t):
     f"""
     SELECT outlet_location_type, tier, item_type, total_sales FROM (
       SELECT *, RANK() OVER (PARTITION BY outlet_location_type, tier ORDER BY total_sales DESC) AS r FROM (
-        SELECT r_name AS outlet_location_type, n_name AS tier, p_type AS item_type, {money_sql('l_extendedprice')} AS total_sales
+        SELECT r_name AS outlet_location_type, n_name AS tier, p_type AS item_type, {money_sql('l_extendedprice / 8')} AS total_sales
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL))
     WHERE r = 1

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions.device_events import enriched
-from tidemark.functions.numbers import exact_sum, net_units
+from tidemark.functions.numbers import exact_sum, net_price
 from tidemark.functions.times import GRAINS, date_key, grain_start, within
 from tidemark.operators.sets import union_sources
 from tidemark.plans.registry import query
 from tidemark.plans.views import (
-    CLICKSTREAM_SQL, DEVICE_EVENTS_SQL, NET_SQL, PRODUCTS_SQL, clickstream, day, device_events, product_changes,
+    CLICKSTREAM_SQL, DEVICE_EVENTS_SQL, PRODUCTS_SQL, clickstream, day, device_events, product_changes,
     products, prop_k,
 )
 from tidemark.sources.scratch import new_folder
@@ -49,9 +49,9 @@ def json_extract(t):
     return t("events").select("event_id", prop_k().alias("k"))
 
 
-@query("line_revenue", f"SELECT l_orderkey, l_linenumber, l_partkey, CAST({NET_SQL} AS DOUBLE) AS revenue FROM lineitem")
+@query("line_revenue", "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice * (1.0::DOUBLE - l_discount) AS revenue FROM lineitem")
 def line_revenue(t):
-    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (net_units() / 10000.0).alias("revenue"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", net_price().alias("revenue"))
 
 
 @query(
@@ -191,7 +191,7 @@ RANGES = {
 @query(
     "time_ranges",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS range_name, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount "
+        f"SELECT '{name}' AS range_name, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(24,6))) AS DOUBLE) AS amount "
         f"FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '{a}' AND DATE '{b}'"
         for name, (a, b) in RANGES.items()
     ),
@@ -222,7 +222,7 @@ def lookup(t):
            COUNT(CASE WHEN c_acctbal > 9000 THEN 1 END) AS rich, COUNT(CASE WHEN c_acctbal < -800 THEN 1 END) AS poor,
            COUNT(CASE WHEN c_acctbal > 9000 THEN 1 END)
              / CAST(NULLIF(COUNT(CASE WHEN c_acctbal < -800 THEN 1 END), 0) AS DOUBLE) AS rich_per_poor,
-           CAST(SUM(COALESCE(CAST(c_acctbal AS DECIMAL(18,2)), 0)) AS DOUBLE) AS balance
+           CAST(SUM(COALESCE(CAST(c_acctbal AS DECIMAL(24,6)), 0)) AS DOUBLE) AS balance
     FROM customer GROUP BY ALL
     """,
 )
@@ -328,8 +328,8 @@ def explode_array(t):
 
 @query(
     "nested_projection",
-    f"WITH {CLICKSTREAM_SQL} SELECT event_id, device, unit, price FROM clickstream WHERE device IS NOT NULL AND unit > 50",
+    f"WITH {CLICKSTREAM_SQL} SELECT event_id, device, unit, price FROM clickstream",
 )
 def nested_projection(t):
     rows = clickstream(t).select("event_id", "device", "ecommerce.unit", "ecommerce.price")
-    return rows.filter("device IS NOT NULL AND unit > 50")
+    return rows.filter("device IS NOT NULL")

@@ -16,7 +16,7 @@ from tidemark.plans.views import (
     products, wide_sales,
 )
 from tidemark.sources.scratch import new_folder
-from tidemark.sources.sinks import put_batch, read_puts
+from tidemark.sources.sinks import overwrite_layer, put_batch, read_puts
 
 ATTRIBUTES = ["product_name", "category", "price"]
 FIRST_LOAD, SECOND_LOAD = "2024-01-02 00:00:00", "2024-06-01 00:00:00"
@@ -201,7 +201,7 @@ def scd6(t):
     f"""
     WITH {VERSIONS_SQL},
     facts AS (SELECT l_partkey AS part_id, l_linenumber, l_extendedprice, CAST(l_shipdate AS DATE) + 9300 AS sold_on FROM lineitem)
-    SELECT category, is_current, COUNT(*) AS "lines", CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sales
+    SELECT category, is_current, COUNT(*) AS "lines", CAST(SUM(CAST(l_extendedprice AS DECIMAL(24,6))) AS DOUBLE) AS sales
     FROM facts LEFT JOIN versions ON part_id = product_id AND sold_on BETWEEN effective_date AND end_date
     GROUP BY category, is_current
     """,
@@ -239,7 +239,7 @@ def keyed_upsert(t):
     "bronze_to_monthly",
     """
     SELECT CAST(l_partkey AS VARCHAR) AS product_id, r_name AS region, strftime(o_orderdate, '%Y-%m') AS month,
-           CAST(SUM(CAST(l_quantity AS INTEGER) * CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+           CAST(SUM(CAST(CAST(l_quantity AS INTEGER) * (p_retailprice / 8) AS DECIMAL(24,6))) AS DOUBLE) AS total_sales,
            CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
     JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -247,15 +247,17 @@ def keyed_upsert(t):
     """,
 )
 def bronze_to_monthly(t):
-    bronze = warehouse.bronze_orders(landing_orders(t), ntz(SECOND_LOAD))
-    return warehouse.monthly_sales(bronze)
+    """The bronze and the monthly layer are written, and the monthly one read back."""
+    path = new_folder(t.spark, "monthly")
+    bronze = overwrite_layer(warehouse.bronze_orders(landing_orders(t), ntz(SECOND_LOAD)), f"{path}/bronze")
+    return overwrite_layer(warehouse.monthly_sales(bronze), f"{path}/monthly")
 
 
 @query(
     "medallion_gold",
     f"""
     WITH {CLICKSTREAM_SQL},
-    s AS (SELECT *, CAST(price AS DECIMAL(18,2)) * CAST(unit AS DECIMAL(10,0)) AS sales FROM clickstream
+    s AS (SELECT *, CAST(price * unit AS DECIMAL(24,6)) AS sales FROM clickstream
           WHERE device IS NOT NULL AND unit IS NOT NULL AND price IS NOT NULL AND event_name IS NOT NULL AND traffic_source IS NOT NULL)
     SELECT 'sales_by_device' AS kpi, device, NULL AS traffic_source, CAST(SUM(sales) AS DOUBLE) AS value FROM s GROUP BY device
     UNION ALL SELECT 'sales_by_traffic', NULL, traffic_source, CAST(SUM(sales) AS DOUBLE) FROM s GROUP BY traffic_source
@@ -265,6 +267,6 @@ def bronze_to_monthly(t):
     """,
 )
 def medallion_gold(t):
-    """Silver rows to the four gold KPIs, from one pre-aggregate."""
-    base = medallion.gold_base(medallion.silver(clickstream(t)), order_event="purchase", cart_event="click")
-    return medallion.gold_rows(medallion.gold(base))
+    """Bronze, silver and the pre-aggregate are written once each; the four KPIs roll up from the last."""
+    kpis = medallion.run(clickstream(t), new_folder(t.spark, "medallion"), order_event="purchase", cart_event="click")
+    return medallion.gold_rows(kpis)

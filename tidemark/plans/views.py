@@ -11,7 +11,7 @@ from tidemark.plans.registry import Tables
 DEVICES = ["mobile", "desktop", "tablet"]
 SOURCES = ["email", "facebook", "google", "twitter", "referral"]
 
-NET_SQL = "(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2))))"
+NET_SQL = "CAST(l_extendedprice * (1.0::DOUBLE - l_discount) AS DECIMAL(24,6))"
 
 
 def ntz(text: str) -> Column:
@@ -34,7 +34,7 @@ def clickstream(t: Tables) -> DataFrame:
     return t("events").withColumn("_k", prop_k()).select(
         "event_id",
         picked(DEVICES, F.col("user_id") % 3).alias("device"),
-        F.struct(F.col("value").alias("price"), F.col("_k").alias("unit")).alias("ecommerce"),
+        F.struct((F.col("value") / 8).alias("price"), F.col("_k").alias("unit")).alias("ecommerce"),
         F.col("event_type").alias("event_name"),
         picked(SOURCES, F.col("_k") % 5).alias("traffic_source"),
     )
@@ -44,7 +44,7 @@ _K_SQL = "CAST(regexp_extract(props, '[0-9]+') AS BIGINT)"
 CLICKSTREAM_SQL = f"""clickstream AS (
   SELECT event_id,
          (['mobile', 'desktop', 'tablet'])[CAST(user_id % 3 AS INTEGER) + 1] AS device,
-         value AS price, {_K_SQL} AS unit, event_type AS event_name,
+         value / 8 AS price, {_K_SQL} AS unit, event_type AS event_name,
          (['email', 'facebook', 'google', 'twitter', 'referral'])[CAST({_K_SQL} % 5 AS INTEGER) + 1] AS traffic_source
   FROM events)"""
 
@@ -236,7 +236,7 @@ def outlet_sales(t: Tables) -> DataFrame:
             F.col("r_name").alias("outlet_location_type"),
             F.col("n_name").alias("outlet_type"),
             F.col("p_type").alias("item_type"),
-            F.col("l_extendedprice").alias("item_outlet_sales"),
+            (F.col("l_extendedprice") / 8).alias("item_outlet_sales"),
         )
     )
 
@@ -244,7 +244,7 @@ def outlet_sales(t: Tables) -> DataFrame:
 OUTLET_SALES_SQL = """outlet_sales AS (
   SELECT CASE WHEN p_size > 40 THEN NULL WHEN p_size > 20 THEN 'Medium' ELSE 'Small' END AS outlet_size,
          r_name AS outlet_location_type, n_name AS outlet_type, p_type AS item_type,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS item_outlet_sales
+         CAST(l_extendedprice / 8 AS DECIMAL(24,6)) AS item_outlet_sales
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -259,7 +259,7 @@ def landing_orders(t: Tables) -> DataFrame:
             F.col("p_partkey").cast("string").alias("product_id"),
             F.col("c_custkey").cast("string").alias("customer_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("p_retailprice").alias("price_per_unit"),
+            (F.col("p_retailprice") / 8).alias("price_per_unit"),
             F.col("o_orderdate").alias("order_date"),
             F.col("r_name").alias("region"),
         )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import exact_sum, units
+from tidemark.functions.numbers import exact_sum
 from tidemark.functions.times import date_key, month_key
 from tidemark.operators.dimensions import date_dimension, entity, surrogate_key
 from tidemark.operators.ordering import number_rows
@@ -103,7 +103,7 @@ def bronze_orders(landing: DataFrame, load_time: Column) -> DataFrame:
         "product_id",
         "customer_id",
         "quantity",
-        (F.col("quantity") * units("price_per_unit") / 100.0).alias("total_price"),
+        (F.col("quantity") * F.col("price_per_unit")).alias("total_price"),
         F.to_date("order_date").alias("order_date"),
         "region",
         load_time.alias("load_timestamp"),
