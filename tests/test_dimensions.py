@@ -264,3 +264,16 @@ def test_outlet_kpis(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "location_outlet"), header=True).columns == [
         "outlet_location_type", "outlet_size", "Total_Sales", "Item_Sold"
     ]
+
+
+def test_a_repeated_batch_key_counts_once(spark):
+    now = F.lit("2024-01-01").cast("timestamp")
+    target = spark.createDataFrame([(1, "a", None)], "k int, v string, at timestamp")
+    batch = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (2, "x", 1), (2, "y", 2), (None, "n", 1)], "k int, v string, seq int")
+    merged = D.scd1_merge(target, batch, "k", ["v"], "at", now, newest=[F.desc("seq")])
+    assert sorted((str(r.k), r.v) for r in merged.collect()) == [("1", "c"), ("2", "y"), ("None", "n")]
+    assert sorted((r.k, r.v) for r in D.scd0_insert(target.select("k", "v"), batch.filter("k is not null"), "k", [F.desc("seq")]).collect()) == [(1, "a"), (2, "y")]
+    third = D.scd3_merge(target.select("k", "v"), batch.select("k", "v", "seq").filter("k is not null"), "k", "v", [F.desc("seq")])
+    assert sorted((r.k, r.v, r.previous_v) for r in third.collect()) == [(1, "c", "a"), (2, "y", None)]
+    current, replaced = D.scd4_split(target, batch, "k", ["v"], "at", now, newest=[F.desc("seq")])
+    assert current.count() == 3 and replaced.count() == 1

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import any_difference, change_action
@@ -54,16 +54,31 @@ def _both(names: Sequence[str]) -> tuple[list[Column], list[Column]]:
     return [F.col(f"t.{n}") for n in names], [F.col(f"s.{n}") for n in names]
 
 
+def one_row_per_key(batch: DataFrame, key: str, newest: Sequence[Column | str] = ()) -> DataFrame:
+    """The batch with one row per key, as a merge needs it; rows without a key stay.
+
+    ``newest`` orders the rows of a key, the one to keep first. What it leaves
+    open, the largest values of the other columns decide, so reruns agree.
+    """
+    rest = [F.desc_nulls_last(c) for c in batch.columns if c != key]
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*newest, *rest))
+    ranked = batch.withColumn("_rank", rank)
+    return ranked.filter((F.col("_rank") == 1) | F.col(key).isNull()).drop("_rank")
+
+
 def scd1_merge(
     target: DataFrame, source: DataFrame, key: str, attributes: Sequence[str],
-    load_time: str, now: Column, null_safe: bool = False,
+    load_time: str, now: Column, null_safe: bool = False, newest: Sequence[Column | str] = (),
 ) -> DataFrame:
     """Type 1: update changed rows in place, insert new ones, delete none.
 
-    ``load_time`` moves only for touched rows.
+    ``load_time`` moves only for touched rows. A key that the batch repeats
+    counts once (see :func:`one_row_per_key`).
     """
-    joined = target.alias("t").join(source.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
-    absent, matched = F.col(f"t.{key}").isNull(), F.col(f"s.{key}").isNotNull()
+    sent = one_row_per_key(source, key, newest).withColumn("_sent", F.lit(True))
+    held = target.withColumn("_held", F.lit(True))
+    joined = held.alias("t").join(sent.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
+    absent, matched = F.col("_held").isNull(), F.col("_sent").isNotNull()
     old, new = _both(attributes)
     touched = matched & (absent | any_difference(old, new, null_safe))
     return joined.select(
@@ -73,16 +88,17 @@ def scd1_merge(
     )
 
 
-def scd0_insert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Type 0: original values stay; only unknown keys are added."""
-    fresh = source.select(*target.columns).join(target.select(key), key, "left_anti")
+def scd0_insert(target: DataFrame, source: DataFrame, key: str, newest: Sequence[Column | str] = ()) -> DataFrame:
+    """Type 0: original values stay; only unknown keys are added, each once."""
+    fresh = one_row_per_key(source, key, newest).select(*target.columns).join(target.select(key), key, "left_anti")
     return target.unionByName(fresh)
 
 
-def scd3_merge(target: DataFrame, source: DataFrame, key: str, tracked: str) -> DataFrame:
-    """Type 3: ``previous_<tracked>`` keeps the value before the latest change."""
+def scd3_merge(target: DataFrame, source: DataFrame, key: str, tracked: str, newest: Sequence[Column | str] = ()) -> DataFrame:
+    """Type 3: ``previous_<tracked>`` keeps the value before the latest change; a repeated key counts once."""
+    source = one_row_per_key(source, key, newest)
     previous = f"previous_{tracked}"
-    others = [c for c in source.columns if c not in (key, tracked)]
+    others = [c for c in source.columns if c not in (key, tracked) and c in target.columns]
     joined = target.alias("t").join(source.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"), "full")
     known, sent = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
     old, new = F.col(f"t.{tracked}"), F.col(f"s.{tracked}")
@@ -98,8 +114,10 @@ def scd3_merge(target: DataFrame, source: DataFrame, key: str, tracked: str) ->
 
 def scd4_split(
     target: DataFrame, source: DataFrame, key: str, attributes: Sequence[str], load_time: str, now: Column,
+    newest: Sequence[Column | str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Type 4: the merged current table, and the replaced rows for the history table."""
+    """Type 4: the merged current table, and the replaced rows for the history table; a repeated key counts once."""
+    source = one_row_per_key(source, key, newest)
     current = scd1_merge(target, source, key, attributes, load_time, now)
     joined = target.alias("t").join(source.alias("s"), F.col(f"t.{key}") == F.col(f"s.{key}"))
     replaced = joined.filter(any_difference(*_both(attributes))).select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
 from tidemark.functions.times import grain_start
+from tidemark.operators.dimensions import one_row_per_key
 from tidemark.operators.joins import JOIN_TYPES
 
 METRIC_SCHEMA = (
@@ -111,19 +112,23 @@ def approved_metrics(store: DataFrame) -> DataFrame:
     return store.filter("approved")
 
 
-def upsert_metrics(store: DataFrame, changes: DataFrame, today: Column) -> DataFrame:
-    """Add or replace definitions by lower-cased name."""
-    lowered = changes.withColumn("name", F.lower("name"))
+def _last_per_name(changes: DataFrame, newest: Sequence[Column | str]) -> DataFrame:
+    return one_row_per_key(changes.withColumn("name", F.lower("name")), "name", newest)
+
+
+def upsert_metrics(store: DataFrame, changes: DataFrame, today: Column, newest: Sequence[Column | str] = ()) -> DataFrame:
+    """Add or replace definitions by lower-cased name; of a repeated name the first in ``newest`` order counts."""
+    lowered = _last_per_name(changes, newest)
     attributes = [c for c in store.columns if c not in ("name", "last_updated")]
     kept = store.join(lowered.select("name"), "name", "left_anti")
     dated = lowered.select("name", *attributes).withColumn("last_updated", today.cast("string"))
     return kept.unionByName(dated)
 
 
-def suggest_metrics(store: DataFrame, suggestions: DataFrame, today: Column) -> DataFrame:
-    """Add unapproved definitions; known names are left alone."""
+def suggest_metrics(store: DataFrame, suggestions: DataFrame, today: Column, newest: Sequence[Column | str] = ()) -> DataFrame:
+    """Add unapproved definitions, each name once; known names are left alone."""
     fresh = (
-        suggestions.withColumn("name", F.lower("name"))
+        _last_per_name(suggestions, newest)
         .join(store.select("name"), "name", "left_anti")
         .withColumns(
             {

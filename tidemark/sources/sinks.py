@@ -89,7 +89,9 @@ def read_puts(spark: SparkSession, path: str, schema: str, keys: list[str]) -> D
     """Keyed put, read side: the row of the latest batch wins for each key."""
     try:
         log = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
     return latest_per_key(log, keys, [F.desc("batch_id")]).drop("batch_id")
 
@@ -97,3 +99,10 @@ def read_puts(spark: SparkSession, path: str, schema: str, keys: list[str]) -> D
 def compact_puts(spark: SparkSession, path: str, schema: str, keys: list[str], target: str) -> DataFrame:
     """Fold the batches into one new base table at ``target``."""
     return overwrite_layer(read_puts(spark, path, schema, keys), target)
+
+
+def read_newest(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of the newest ``batch_id`` folder of JSON totals."""
+    every = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).json(path)
+    newest = every.agg(F.max("batch_id")).scalar()
+    return every.filter(F.col("batch_id") == newest).drop("batch_id")

@@ -70,11 +70,12 @@ def normalised_persons(df: DataFrame) -> DataFrame:
 
 def put_persons(batch: DataFrame, batch_id: int, target: str) -> None:
     """One batch of person messages: normalise, keep the last per id, put."""
-    decoded = envelope(batch, PERSON_SCHEMA).filter("corrupt IS NULL AND id IS NOT NULL").drop("corrupt")
+    lines = batch.withColumn("line", F.monotonically_increasing_id())  # rises along a block of a file
+    decoded = envelope(lines, PERSON_SCHEMA).filter("corrupt IS NULL AND id IS NOT NULL").drop("corrupt")
     last = latest_per_key(
-        normalised_persons(decoded), ["id"], [F.desc("arrived"), F.desc("name"), F.desc("age")]
+        normalised_persons(decoded), ["id"], [F.desc("arrived"), F.desc("line")]
     )
-    put_batch(last.drop("arrived"), target, batch_id)
+    put_batch(last.drop("arrived", "line"), target, batch_id)
 
 
 def person_stream(spark: SparkSession, source: str, target: str, checkpoint: str, trigger=AVAILABLE) -> StreamingQuery:
@@ -108,12 +109,16 @@ def validate_stream(
 def subscription_metrics_stream(
     spark: SparkSession, passed: str, target: str, checkpoint: str, trigger=AVAILABLE
 ) -> StreamingQuery:
-    """Customers per subscription over all validated files so far."""
+    """Customers per subscription over all validated files so far.
+
+    Each batch owns a folder, so a failed write leaves the totals before it; read
+    them with ``sinks.read_newest``.
+    """
     rows = spark.readStream.schema(SUBSCRIBER_SCHEMA).json(passed)
     counts = rows.groupBy("subscription_type").agg(F.count("*").alias("customers"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").json(target)
+        batch.write.mode("overwrite").json(f"{target}/batch_id={batch_id}")
 
     return (
         counts.writeStream.outputMode("complete").foreachBatch(handle)

@@ -22,9 +22,10 @@ def document_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def message_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Queue envelopes ``{"body": "<json>"}`` with the arrival order of their file."""
+    """Queue envelopes ``{"body": "<json>"}``; ``arrived`` orders them by file time, file and block of the file."""
     messages = spark.readStream.schema("body string").json(path)
-    return messages.select("body", F.col("_metadata.file_modification_time").alias("arrived"))
+    place = [F.col(f"_metadata.{name}") for name in ("file_modification_time", "file_path", "file_block_start")]
+    return messages.select("body", F.struct(*place).alias("arrived"))
 
 
 def stage_stream(spark: SparkSession, path: str, columns: int, separator: str = ",") -> DataFrame:
