@@ -40,12 +40,19 @@ def test_stage_is_trimmed_quoted_and_positional(spark, tmp_path):
     assert rows(scans.stage_files(spark, str(tmp_path), 3)) == [("a", "b,c", "3")]
 
 
+def test_each_file_has_its_own_separator(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,place\n" + "".join(f'{k},"x|{k}"\n' for k in range(40)))
+    (tmp_path / "b.txt").write_text("place|id\n" + "".join(f"a, b, {k}|{k}\n" for k in range(100, 130)))
+    found = {r.id: r.place for r in scans.discovered_files(spark, str(tmp_path)).collect()}
+    assert found == {k: f"x|{k}" for k in range(40)} | {k: f"a, b, {k}" for k in range(100, 130)}
+
+
 @pytest.mark.parametrize("separator", [",", "|", ";", "\t"])
 def test_separator_and_types_are_discovered(spark, tmp_path, separator):
     lines = [["id", "place, x" if separator != "," else "place", "price"], ["1", "a", "1.5"], ["2", "b", "2.5"]]
     (tmp_path / "f.txt").write_text("\n".join(separator.join(x) for x in lines) + "\n")
     df = scans.discovered_files(spark, str(tmp_path))
-    assert scans.discover_separator(spark, str(tmp_path)) == separator
+    assert [r.separator for r in scans.file_separators(spark, str(tmp_path)).collect()] == [separator]
     assert [kind for _, kind in df.dtypes] == ["int", "string", "double"]
     assert rows(df) == [(1, "a", 1.5), (2, "b", 2.5)]
 

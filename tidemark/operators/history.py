@@ -70,6 +70,7 @@ def evaluation_report(runs: DataFrame) -> DataFrame:
     return scored_runs(runs).agg(
         F.count("*").alias("total_queries"),
         F.avg("discovery_accuracy").alias("discovery_accuracy"),
+        F.avg("fragment_share").alias("fragment_share"),
         flag("execution_success").alias("sql_correctness"),
         F.avg("retry_count").alias("retry_rate"),
         flag("validation_passed").alias("validation_pass_rate"),

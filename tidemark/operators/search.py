@@ -58,6 +58,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
 
 
+def _finite(vector: str) -> Column:
+    """Whether a vector is there and all its elements are finite numbers."""
+    usual = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return F.coalesce(F.forall(F.col(vector), usual), F.lit(False))
+
+
 def _block_search(names: list[int], unit_queries: np.ndarray, k: int):
     """Task function: best ``k`` ids per query, folded over Arrow batches.
 
@@ -106,11 +112,13 @@ def vector_topk(
     Query vectors travel to the tasks in blocks of at most ``QUERY_BLOCK``; more
     queries only mean more blocks. A task multiplies Arrow batches by the block
     and keeps k rows per query, so the shuffle carries k rows per query and
-    task instead of one row per pair. Vectors of another length are no match.
+    task instead of one row per pair. Vectors of another length, or
+    with a NULL, NaN or infinite element on either side, are no match.
     ``where`` restricts the vectors, for instance to a namespace.
     """
+    queries = queries.filter(_finite(query_col))
     total = queries.count()
-    searched = vectors if where is None else vectors.filter(where)
+    searched = (vectors if where is None else vectors.filter(where)).filter(_finite(vector_col))
     wanted = searched.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>"))
     query_rows = queries.select(
         F.col(query_id).cast("bigint").alias("q"), F.col(query_col).cast("array<double>").alias("v")

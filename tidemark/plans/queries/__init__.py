@@ -1,3 +1,3 @@
 """Importing this package registers every query."""
 
-from tidemark.plans.queries import aggregates, columns, dimensions, joins, quality, search  # noqa: F401
+from tidemark.plans.queries import aggregates, columns, dimensions, joins, quality, search, storage  # noqa: F401

@@ -8,6 +8,8 @@ from tidemark.functions.numbers import exact_sum, money
 from tidemark.operators import quality as Q
 from tidemark.operators.ledger import balances
 from tidemark.plans.registry import query
+from tidemark.sources.scratch import new_folder
+from tidemark.sources.sinks import split_write
 from tidemark.plans.views import (
     ORDER_MESSAGES_SQL, SUBSCRIBERS_SQL, day, ntz, order_messages, subscribers,
 )
@@ -27,7 +29,12 @@ NOW = "2000-01-01 00:00:00"
     """,
 )
 def validate_split(t):
-    return Q.validated(subscribers(t), Q.subscriber_rules()).select("customer_id", "reason", "passed")
+    """Passed and failed rows go to two folders and are read back from them."""
+    path = new_folder(t.spark, "split")
+    checked = Q.validated(subscribers(t), Q.subscriber_rules()).select("customer_id", "reason", "passed")
+    split_write(checked, F.col("passed"), f"{path}/passed", f"{path}/failed")
+    read = t.spark.read.schema("customer_id bigint, reason string, passed boolean").json
+    return read(f"{path}/passed").unionByName(read(f"{path}/failed"))
 
 
 @query(
@@ -54,7 +61,7 @@ def rule_counts(t):
     return Q.status_counts(Q.with_status(order_messages(t), ntz(NOW)))
 
 
-_LABELLED = ["doc_id", "lang", "n_chars", "quality", "toxic"]
+_LABELLED = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 
 
 @query(
@@ -71,12 +78,12 @@ def null_profile(t):
     return Q.profile(rows).select("column", "rows", "null_share", "too_many_nulls")
 
 
-_NUMBERS = ["user_id", "value", "event_type", "value_text"]
+_NUMBERS = ["event_id", "ts_text", "user_id", "event_type", "value", "props", "value_text"]
 
 
 @query(
     "zscore_profile",
-    "WITH e AS (SELECT *, CAST(value AS VARCHAR) AS value_text FROM events), "
+    "WITH e AS (SELECT *, CAST(value AS VARCHAR) AS value_text, CAST(ts AS VARCHAR) AS ts_text FROM events), "
     + ", ".join(
         f"p{i} AS (SELECT AVG(TRY_CAST({c} AS DOUBLE)) AS m, STDDEV_POP(TRY_CAST({c} AS DOUBLE)) AS s, "
         f"MIN(TRY_CAST({c} AS DOUBLE)) AS lo, MAX(TRY_CAST({c} AS DOUBLE)) AS hi FROM e)"
@@ -91,7 +98,8 @@ _NUMBERS = ["user_id", "value", "event_type", "value_text"]
     ),
 )
 def zscore_profile(t):
-    rows = t("events").withColumn("value_text", F.col("value").cast("string")).select(*_NUMBERS)
+    texts = {"value_text": F.col("value").cast("string"), "ts_text": F.col("ts").cast("string")}
+    rows = t("events").withColumns(texts).select(*_NUMBERS)
     rounded = {c: F.round(c, 4) for c in ("mean", "deviation", "max_z")}
     return Q.profile(rows).withColumns(rounded).select("column", "mean", "deviation", "max_z", "has_outlier")
 
@@ -192,8 +200,8 @@ def dq_scorecard(t):
     "metric_reconcile",
     """
     SELECT e.o_orderpriority, expected, supplied, ABS(expected - supplied) AS difference FROM
-      (SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS expected FROM orders GROUP BY 1) e
-      FULL JOIN (SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS supplied FROM orders
+      (SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(24,6))) AS DOUBLE) AS expected FROM orders GROUP BY 1) e
+      FULL JOIN (SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(24,6))) AS DOUBLE) AS supplied FROM orders
                  WHERE o_orderpriority < '4' AND NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'P') GROUP BY 1) s
       ON e.o_orderpriority = s.o_orderpriority
     WHERE COALESCE(ABS(expected - supplied) > 0, TRUE)

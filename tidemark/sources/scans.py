@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,31 +64,41 @@ def catalog_table(spark: SparkSession, database: str, name: str) -> DataFrame:
     return spark.read.table(f"`{database}`.`{name}`")
 
 
-def discover_separator(spark: SparkSession, path: str, head_lines: int = 20) -> str:
-    """Separator that splits the head lines into the most consistent field count.
+def file_separators(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` and the ``separator`` that splits most of its lines into the same number of fields, two at least.
 
-    Only ``head_lines`` lines reach the driver.
+    Every line counts. Quoted parts are taken out first; fields are counted per
+    file, separator and count, before the shuffle and after it. Of equal shares
+    the larger count wins, then the order of ``SEPARATORS``.
     """
-    lines = [r.value for r in spark.read.text(path).filter(F.length("value") > 0).take(head_lines)]
-    best, best_score = SEPARATORS[0], (0.0, 0)
-    for separator in SEPARATORS:
-        counts = [len(fields) for fields in csv.reader(lines, delimiter=separator)]
-        if not counts:
-            continue
-        usual = max(set(counts), key=counts.count)
-        if usual < 2:
-            continue
-        score = (counts.count(usual) / len(counts), usual)
-        if score > best_score:
-            best, best_score = separator, score
-    return best
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    fields = lambda s: F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit(""))) + 1
+    options = F.array(
+        *[F.struct(F.lit(-i).alias("rank"), F.lit(s).alias("separator"), fields(s).alias("fields")) for i, s in enumerate(SEPARATORS)]
+    )
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    split = lines.select(F.col("_metadata.file_path").alias("file"), F.explode(options).alias("o"))
+    counts = split.groupBy("file", "o").agg(F.count("*").alias("n"))
+    score = F.struct(F.when(F.col("o.fields") > 1, F.col("n")).otherwise(0), "o.fields", "o.rank")
+    return counts.groupBy("file").agg(F.max_by("o.separator", score).alias("separator"))
 
 
 def discovered_files(spark: SparkSession, path: str) -> DataFrame:
-    """Delimited files whose separator and column types are found from the data."""
-    separator = discover_separator(spark, path)
-    options = {**stage_options(separator), "enforceSchema": "false", "inferSchema": "true"}
-    return spark.read.options(**options).csv(path)
+    """Delimited files whose separators and column types are found from the data.
+
+    Each file has its own separator. Files with the same one are read together,
+    and the groups are joined by column name. One row per file reaches the driver,
+    which lists the files anyway.
+    """
+    files: dict[str, list[str]] = {}
+    for row in file_separators(spark, path).collect():
+        files.setdefault(row.separator, []).append(row.file)
+    out = None
+    for separator in sorted(files, key=SEPARATORS.index):
+        options = {**stage_options(separator), "enforceSchema": "false", "inferSchema": "true"}
+        part = spark.read.options(**options).csv(sorted(files[separator]))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], StructType()) if out is None else out
 
 
 def stage_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
