@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, html_text, language, mixing, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
+    chat, html_text, language, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
 )
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_chat_format": oracles.CHAT, "op7_mix_sources": oracles.MIX, "op8_quality_rules": oracles.QUALITY,
+}
 
 
 def tokenizer_file(name: str) -> str:
