@@ -40,7 +40,7 @@ from tidemark.sources.scratch import new_folder
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 BLOCK_DOCS = 256
-MEMO = 400_000
+MEMO = 600_000
 STRETCH = 1_000_000
 SPACE = " \t\n\r\x0b\x0c"
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -105,10 +105,13 @@ def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, ro
     """Dictionary from the serialized ids of at most ``rows`` documents of at most ``chars`` characters each.
 
     Those with the least hash of their id are taken, so reruns train the same one.
+    Hashes are ranked alone, so no task sends texts to the driver but of the sample.
     Too few documents give an empty dictionary, and frames without one.
     """
-    sample = docs.select(F.xxhash64(doc_id, text).alias("_at"), F.col(text).alias("_text")).filter(F.length("_text") <= chars)
-    texts = [row._text for row in sample.orderBy("_at").limit(rows).collect()]
+    hashes = docs.select(F.xxhash64(doc_id).alias("_at")).orderBy("_at").limit(rows).collect()
+    last = max((row._at for row in hashes), default=0)
+    sample = docs.filter(F.xxhash64(doc_id) <= last).select(F.col(text).alias("_text")).filter(F.length("_text") <= chars)
+    texts = sorted(row._text for row in sample.limit(rows).collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, list(encoder(tokenizer).encode_all(texts))).as_bytes()
     except zstandard.ZstdError:
@@ -175,7 +178,8 @@ def digests(folder: str, spark, dtype: str = "<u2") -> DataFrame:
     sizes = blocks.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("part").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = blocks.join(starts, F.col("part") == F.col("_part")).select(
+    # two numbers per task of the write, so the frames need no shuffle
+    placed = blocks.join(F.broadcast(starts), F.col("part") == F.col("_part")).select(
         (F.col("start_in_part") + F.col("_before")).alias("start"), "dictionary_sha256", "doc_ids", "counts", "offsets", "frames"
     )
 
