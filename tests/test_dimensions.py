@@ -277,3 +277,11 @@ def test_a_repeated_batch_key_counts_once(spark):
     assert sorted((r.k, r.v, r.previous_v) for r in third.collect()) == [(1, "c", "a"), (2, "y", None)]
     current, replaced = D.scd4_split(target, batch, "k", ["v"], "at", now, newest=[F.desc("seq")])
     assert current.count() == 3 and replaced.count() == 1
+
+
+def test_star_refuses_variants_when_asked_and_reads_lines_once(spark):
+    df = wide(spark).withColumn("customer_name", F.when(F.col("product_id") == "B", "Anna").otherwise(F.col("customer_name")))
+    with pytest.raises(D.DuplicateKeys):
+        warehouse.normalise(df, unique=True)
+    fact = warehouse.sales_fact(warehouse.normalise(wide(spark), unique=True))
+    assert fact.count() == 3

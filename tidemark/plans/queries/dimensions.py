@@ -44,10 +44,11 @@ def surrogate_key(t):
     o AS (SELECT order_id, ROW_NUMBER() OVER (ORDER BY order_id) AS sk FROM (SELECT DISTINCT order_id FROM wide))
     SELECT 'customer' AS entity, sk, customer_id AS natural_id FROM c UNION ALL SELECT 'product', sk, product_id FROM p
     UNION ALL SELECT 'order', sk, order_id FROM o
+    UNION ALL SELECT 'order_item', ROW_NUMBER() OVER (), NULL FROM wide
     """,
 )
 def normalise_entities(t):
-    e = warehouse.normalise(wide_sales(t), number_items=False)
+    e = warehouse.normalise(wide_sales(t), unique=True)
     shape = lambda df, name, sk, key: df.select(
         F.lit(name).alias("entity"), F.col(sk).alias("sk"), F.col(key).alias("natural_id")
     )
@@ -56,6 +57,7 @@ def normalise_entities(t):
             shape(e.customers, "customer", "customer_sk", "customer_id"),
             shape(e.products, "product", "product_sk", "product_id"),
             shape(e.orders, "order", "order_sk", "order_id"),
+            shape(e.order_items.withColumn("none", F.lit(None).cast("bigint")), "order_item", "order_item_sk", "none"),
         ]
     )
 
@@ -75,7 +77,7 @@ def normalise_entities(t):
 )
 def star_fact(t):
     """Fact rows whose unit price comes from the product dimension."""
-    fact = warehouse.sales_fact(warehouse.normalise(wide_sales(t), number_items=False))
+    fact = warehouse.sales_fact(warehouse.normalise(wide_sales(t), number_items=False, unique=True))
     return fact.withColumns({c: F.col(c).cast("double") for c in ("unit_price", "total_sales_amount")})
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import exact_sum
 from tidemark.functions.times import date_key, month_key
-from tidemark.operators.dimensions import date_dimension, entity, surrogate_key
+from tidemark.operators.dimensions import DuplicateKeys, date_dimension, entity, surrogate_key
 from tidemark.operators.ordering import number_rows
+from tidemark.operators.quality import duplicate_keys
 from tidemark.sources.scratch import written
 from tidemark.sources.sinks import create_or_replace, insert_append, insert_overwrite
 
@@ -27,19 +28,26 @@ CUSTOMER_ATTRIBUTES = ["customer_name", "customer_email", "customer_address"]
 PRODUCT_ATTRIBUTES = ["product_name", "product_category", "product_price"]
 
 
-def normalise(wide: DataFrame, number_items: bool = True) -> Entities:
+def normalise(wide: DataFrame, number_items: bool = True, unique: bool = False) -> Entities:
     """Customers, products, orders and items of a wide sales table, keyed from 1.
 
-    Customers and orders both come from the distinct order heads, which are
-    written once: the wide table is read for heads, products and items only.
-    Item keys need no order, so items are numbered where they lie;
-    ``number_items=False`` leaves them without a key.
+    The wide table is written once, so the joins behind it run once; heads,
+    products and items read their columns from the copy. Customers and orders
+    both come from the distinct order heads, which are written too. Item keys
+    need no order, so items are numbered where they lie; ``number_items=False``
+    leaves them without a key. Two variants of a customer's or a product's
+    attributes give two rows, and with ``unique`` an error.
     """
+    wide = written(wide, "wide")
     heads = written(
         wide.select("order_id", "order_date", "customer_id", *CUSTOMER_ATTRIBUTES).distinct(), "order-heads"
     )
     customers = entity(heads, "customer_id", CUSTOMER_ATTRIBUTES, "customer_sk")
     products = entity(wide, "product_id", PRODUCT_ATTRIBUTES, "product_sk")
+    if unique:
+        for rows, key in ((customers, "customer_id"), (products, "product_id")):
+            if not duplicate_keys(rows, [key]).isEmpty():
+                raise DuplicateKeys(f"{key} has rows with different attributes")
     placed = heads.select("order_id", "order_date", "customer_id").distinct()
     orders = surrogate_key(
         placed.join(customers.select("customer_id", "customer_sk"), "customer_id").drop("customer_id").distinct(),
@@ -72,19 +80,14 @@ def day_dimension(wide: DataFrame) -> DataFrame:
 def sales_fact(e: Entities) -> DataFrame:
     """Star fact. Unit price is the dimension's, and the total follows from it.
 
-    Staging and warehouse dimensions meet first, so the items are joined once
-    per dimension.
+    The staging keys are the warehouse keys, so items join each dimension once by key.
     """
-    buyers = e.customers.select("customer_sk", "customer_id").join(
-        customer_dimension(e.customers).select("customer_key", "customer_id"), "customer_id"
-    )
-    goods = e.products.select("product_sk", "product_id").join(
-        product_dimension(e.products).select("product_key", "product_id", "product_price"), "product_id"
-    )
+    buyers = customer_dimension(e.customers).select("customer_key")
+    goods = product_dimension(e.products).select("product_key", "product_price")
     return (
         e.order_items.join(e.orders.select("order_sk", "order_date", "customer_sk"), "order_sk")
-        .join(buyers.drop("customer_id"), "customer_sk")
-        .join(goods.drop("product_id"), "product_sk")
+        .join(buyers, F.col("customer_sk") == F.col("customer_key"))
+        .join(goods, F.col("product_sk") == F.col("product_key"))
         .select(
             "order_sk",
             "customer_key",
