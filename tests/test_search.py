@@ -163,3 +163,21 @@ def test_error_categories(spark):
     expected = [*_CATEGORIES, "MISSING_COLUMN", "TYPE_ERROR", "UNKNOWN"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, m string").orderBy("i")
     assert [r[0] for r in df.select(H.error_category(F.col("m"))).collect()] == expected
+
+
+def test_vectors_that_are_no_numbers_match_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [-1.0, 0.1]), (3, [nan, 1.0]), (4, None), (5, [inf, 0.0]), (6, [None, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [nan, 0.0])], "query_id bigint, query array<float>")
+    found = S.vector_topk(df, queries, 5).orderBy(F.desc("score")).collect()
+    assert [(r.query_id, r.vec_id) for r in found] == [(1, 1), (1, 2)]
+
+
+def test_a_metric_name_counts_once(spark):
+    from tidemark.operators import metrics as M
+
+    store = spark.createDataFrame([], "name string, expression string, last_updated string")
+    changes = spark.createDataFrame([("Rev", "a", 1), ("rev", "b", 2)], "name string, expression string, seq int")
+    rows = M.upsert_metrics(store, changes, F.lit("2024-01-01"), [F.desc("seq")]).collect()
+    assert [(r.name, r.expression) for r in rows] == [("rev", "b")]
