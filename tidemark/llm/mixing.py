@@ -69,16 +69,19 @@ def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
     weights: Sequence[float] = (5, 2, 1), most_epochs: int = 3, keep: list[str] | None = None,
 ) -> DataFrame:
-    """``keep`` columns as a struct ``_row`` with ``size``, ``source_size``, ``target`` and ``times`` (how often taken)."""
+    """``keep`` columns as a struct ``_row`` with ``size``, ``source_size``, ``target`` and ``times`` (how often taken).
+
+    What is taken once more than the whole epochs ends, per source, at one key and
+    id. So documents meet a table of one row per source, whose size tells Spark
+    whether to broadcast it or to join by shuffle, where it splits a large source.
+    Sizes and keys are cheaper to work out twice than to write with the texts.
+    """
     keep = docs.columns if keep is None else keep
-    key = random_key("_id", "_text")
-    sized = written(
-        docs.select(F.struct(*keep).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(source).alias("source"))
-        .withColumns({"size": word_count(text_or_empty("_text")), "_key": key})
-        .withColumn("_range", F.shiftright("_key", KEY_BITS - RANGE_BITS).cast("int"))
-        .drop("_text"),
-        "sizes",
-    )
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(source).alias("source"))
+    rows = rows.withColumns({"size": word_count(text_or_empty("_text")), "_key": random_key("_id", "_text")})
+    rows = rows.withColumn("_range", F.shiftright("_key", KEY_BITS - RANGE_BITS).cast("int")).drop("_text")
+    sized = written(rows.select("source", "size", "_key", "_id", "_range"), "sizes")
+
     ranges = written(sized.groupBy("source", "_range").agg(F.sum("size").alias("_words")), "ranges")
     budget = targets(ranges.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, most_epochs)
     budget = budget.withColumn("_epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("bigint"))
@@ -87,23 +90,29 @@ def mix(
     placed = ranges.withColumn("_before", F.coalesce(F.sum("_words").over(earlier), F.lit(0))).join(
         budget, F.col("source").eqNullSafe(F.col("_of"))
     )
-    cuts = written(
-        placed.select(
-            F.col("source").alias("_source"), F.col("_range").alias("_r"), "_before", "_rest", "_epochs", "source_size", "target",
-            ((F.col("_before") + F.col("_words") <= F.col("_rest")) & (F.col("_rest") > 0)).alias("_inside"),
-            ((F.col("_before") > F.col("_rest")) | (F.col("_rest") <= 0)).alias("_outside"),
-        ),
-        "cuts",
+    ends = (F.col("_rest") > 0) & (F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_words") > F.col("_rest"))
+    last = written(
+        placed.filter(ends).select(F.col("source").alias("_source"), F.col("_range").alias("_end"), "_before", "_rest"), "last-ranges"
+    )
+
+    # inside the last range of each source, rows of one key and id stand together
+    inside = sized.join(last, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_end")))
+    units = inside.groupBy("source", "_key", "_id").agg(
+        F.sum("size").alias("_size"), F.first("_before").alias("_before"), F.first("_rest").alias("_rest")
+    )
+    upto = Window.partitionBy("source").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.coalesce(F.sum("_size").over(upto), F.lit(0))
+    taken = units.withColumn("_nearer", start + F.col("_size") / 2 <= F.col("_rest")).filter("_nearer")
+    cut = taken.groupBy("source").agg(F.max(F.struct("_key", "_id")).alias("_cut")).withColumnRenamed("source", "_cut_of")
+    limits = budget.select("_of", "source_size", "target", "_epochs")
+    limits = limits.join(last.select("_source", "_end"), F.col("_of").eqNullSafe(F.col("_source")), "left")
+    limits = written(limits.join(cut, F.col("_of").eqNullSafe(F.col("_cut_of")), "left").drop("_source", "_cut_of"), "cuts")
+
+    joined = rows.join(limits, F.col("source").eqNullSafe(F.col("_of")))
+    once_more = F.coalesce(
+        (F.col("_range") < F.col("_end")) | ((F.col("_range") == F.col("_end")) & (F.struct("_key", "_id") <= F.col("_cut"))), F.lit(False)
     )
-    joined = sized.join(cuts, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_r")))
-    columns = ["_row", "size", "source_size", "target"]
-    ends = ~F.col("_inside") & ~F.col("_outside")
-    plain = joined.filter(~ends).select(*columns, (F.col("_epochs") + F.col("_inside").cast("bigint")).alias("times"))
-    upto = Window.partitionBy("source", "_range").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum("size").over(upto), F.lit(0))
-    nearer = start + F.col("size") / 2 <= F.col("_rest")
-    last = joined.filter(ends).select(*columns, (F.col("_epochs") + nearer.cast("bigint")).alias("times"))
-    return plain.unionByName(last)
+    return joined.select("_row", "size", "source_size", "target", (F.col("_epochs") + once_more.cast("bigint")).alias("times"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
