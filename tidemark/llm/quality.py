@@ -203,18 +203,21 @@ def thresholds(sketch: DataFrame, lang: str, source: str, limits=LIMITS, min_row
 def judge(
     docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", limits=LIMITS,
     min_rows: int = 200, least_words: int = 10, repeat_percent: int = 20, keep: list[str] | None = None,
+    write_counts: bool = True,
 ) -> DataFrame:
     """``keep`` columns of ``docs`` (all by default) with counts, ``base_failed`` and ``kept``.
 
     The sketches cover every document of at least ``least_words`` words. Counts
     and limits are written once to the shared folder: texts are read once, and the
     size of the limits tells Spark whether to broadcast them or to join by
-    shuffle, where it splits a hot source.
+    shuffle, where it splits a hot source. ``write_counts=False`` counts again in
+    place of writing, for rows that are kept with their texts.
     """
     keep = docs.columns if keep is None else keep
     values = [m.metric for m in limits]
     packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"), F.col(lang).alias("_lang"), F.col(source).alias("_source"))
-    counted = written(with_counts(packed, "_text").drop("_text").withColumns({m: metrics()[m] for m in values}), "counts")
+    counted = with_counts(packed, "_text").drop("_text").withColumns({m: metrics()[m] for m in values})
+    counted = written(counted, "counts") if write_counts else counted
     sketch = written(sketches(counted.filter(F.col("n_words") >= least_words), ["_lang", "_source"], values), "sketches")
     own_limits = thresholds(sketch, "_lang", "_source", limits, min_rows)
     limit_rows = written(own_limits.withColumnsRenamed({"_lang": "_of_lang", "_source": "_of_source"}), "limits")
