@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -314,6 +315,25 @@ def test_url_model_against_brute_force(spark):
         assert math.isclose(got[u], ratio(u), abs_tol=0.02)
 
 
+def test_url_model_keeps_every_ngram(spark):
+    """More n-grams than a table of fixed size holds: each is a row, and an unseen one backs off to what was seen."""
+    pick = random.Random(3)
+    urls = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=40)) for _ in range(1500)]
+    df = spark.createDataFrame([(k, u, k % 2 == 0) for k, u in enumerate(urls)], "k bigint, v string, ok boolean")
+    model = url_filter.fit(df, "v", "ok")
+    units = {r.gram: r.units for r in model.collect()}
+    every = {("\u0002" * 4 + u + "\u0003")[at - k : at + 1] for u in urls for at in range(4, 45) for k in range(5)}
+    assert set(units) == every and sum(len(g) == 5 for g in every) > 40_000
+    new = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=30)) for _ in range(50)] + ["", "\u00e9\u00e9", urls[0]]
+    found = url_filter.scores(spark.createDataFrame(list(enumerate(new)), "k bigint, v string"), "v", "k", model).collect()
+    assert len(found) == len(new)
+    for r in found:
+        padded, total = "\u0002" * 4 + r.v + "\u0003", 0
+        for at in range(4, len(padded)):
+            total += next((units[g] for k in range(4, -1, -1) if (g := padded[at - k : at + 1]) in units), 0)
+        assert math.isclose(r.log_ratio, total / url_filter.UNITS / (len(padded) - 4), abs_tol=1e-12)
+
+
 def test_url_empty(spark):
     assert url_filter.judge(spark.createDataFrame([], "url string")).count() == 0
 

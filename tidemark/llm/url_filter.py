@@ -9,11 +9,14 @@ A URL that no rule fits is accepted if its log-likelihood difference per charact
 reaches a limit, which is calibrated on the URLs that rules decided: the one with
 the least sum of both error rates.
 
-Counts cover every URL. They are summed before the shuffle, so what moves is the
-number of different n-grams. For scoring, the differences of all n-grams are
-hashed into ``SLOTS`` slots per order (those that fall together are averaged by
-count), a table of a fixed size that every task gets as a constant; so URLs are
-neither exploded nor shuffled to be scored.
+Counts cover every URL. Each different host and path is exploded into its n-grams
+once and counted as often as it is there; counts are summed before the shuffle.
+The model is a table of all n-grams that were seen, so it grows with the corpus. An
+n-gram's row holds by how much its log difference exceeds that of the n-gram
+without its first character. What ends a seen n-gram was seen as well, so the rows
+that fit at one place add up to the log difference of the longest one: scoring
+joins n-grams with the model and sums up by URL. Differences are whole numbers of
+``1 / UNITS``, so any order of the sum gives the same score.
 
 Everything is DataFrame code. Defined results: a null URL, or one without ``://``,
 has an empty host and path and is judged by the model like any other; without any
@@ -23,17 +26,18 @@ result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import constant_array
 from tidemark.sources.scratch import written
 
 ORDER = 4
-SLOTS = 1 << 13
+#: A log difference of 1 in the model.
+UNITS = 1_000_000_000
 #: Log differences per character in the calibration: bins of 1 / BINS from -LIMIT to LIMIT.
 BINS, LIMIT = 100, 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -82,7 +86,7 @@ def _contexts(value: Column) -> list[Column]:
 
     The arrays are shifted against one another, so no lambda looks into an array.
     """
-    chars = F.concat(F.split(value, ""), F.array(F.lit("\u0003")))
+    chars = F.concat(F.array_remove(F.split(value, ""), ""), F.array(F.lit("\u0003")))
     size = F.size(chars)
     out = [chars]
     for order in range(1, ORDER + 1):
@@ -114,63 +118,76 @@ def _witten_bell(counts: DataFrame, n: str) -> DataFrame:
     return result
 
 
-def _slots(grams: Column, order: int) -> Column:
-    return F.transform(grams, lambda gram: F.pmod(F.xxhash64(gram), F.lit(SLOTS)).cast("int") + F.lit(order * SLOTS))
+def _grams(value: Column) -> Column:
+    """All n-grams of a value in one array; the order of each is its length less one."""
+    return F.concat(*_contexts(value))
 
 
-def fit(urls: DataFrame, value: str, accepted: str) -> list[float | None]:
-    """For each order and slot the log difference, None where no n-gram is.
+def fit(urls: DataFrame, value: str, accepted: str, times: str | None = None) -> DataFrame:
+    """``order``, ``gram``, its log difference ``units`` and what it adds to that of the next shorter one, ``gain``.
 
-    ``accepted`` is true, false, or null for a URL that trains neither model.
+    ``accepted`` is true, false, or null for a URL that trains neither model;
+    ``times`` says how often each row counts.
     """
-    arrays = F.array(*[F.struct(F.lit(k).alias("order"), a.alias("grams")) for k, a in enumerate(_contexts(F.col(value)))])
-    rows = urls.filter(F.col(accepted).isNotNull()).select(accepted, F.explode(arrays).alias("_set"))
-    grams = rows.select(accepted, F.col("_set.order").alias("order"), F.explode("_set.grams").alias("gram"))
+    n = F.lit(1).cast("bigint") if times is None else F.col(times)
+    rows = urls.filter(F.col(accepted).isNotNull()).select(
+        F.col(accepted).alias("_accepted"), n.alias("_times"), F.explode(_grams(F.col(value))).alias("gram")
+    )
+    count = lambda which: F.sum(F.when(which, F.col("_times")).otherwise(0))
     counts = written(
-        grams.groupBy("order", "gram").agg(F.count_if(accepted).alias("yes"), F.count_if(~F.col(accepted)).alias("no")), "grams"
+        rows.groupBy("gram").agg(count(F.col("_accepted")).alias("yes"), count(~F.col("_accepted")).alias("no"))
+        .select((F.length("gram") - 1).alias("order"), "gram", "yes", "no"), "grams"
     )
-    yes = _witten_bell(counts, "yes").select(F.col("order").alias("_o"), F.col("gram").alias("_g"), F.col("p").alias("_yes"))
-    no = _witten_bell(counts, "no").select(F.col("order").alias("_p"), F.col("gram").alias("_h"), F.col("p").alias("_no"))
-    both = counts.join(yes, (F.col("order") == F.col("_o")) & (F.col("gram") == F.col("_g")))
-    both = both.join(no, (F.col("order") == F.col("_p")) & (F.col("gram") == F.col("_h")))
-    slot = F.pmod(F.xxhash64("gram"), F.lit(SLOTS)).cast("int") + F.col("order") * SLOTS
-    weight = F.col("yes") + F.col("no")
-    ratio = F.sum(F.log(F.col("_yes") / F.col("_no")) * weight) / F.sum(weight)
-    model: list[float | None] = [None] * (SLOTS * (ORDER + 1))
-    for at, value in both.groupBy(slot.alias("slot")).agg(ratio.alias("ratio")).collect():  # at most one row per slot
-        model[at] = round(value, 4)
-    return model
-
-
-def score(value: Column, model: list[float | None]) -> Column:
-    """Mean log difference per character, by the longest context that the model knows."""
-    known, arrays = constant_array(model, "double"), _contexts(value)
-    slots = [_slots(a, k) for k, a in enumerate(arrays)]
-    found = F.transform(slots[0], lambda slot: F.coalesce(F.get(known, slot), F.lit(0.0)))
-    for higher in slots[1:]:
-        found = F.zip_with(found, higher, lambda lower, slot: F.coalesce(F.get(known, slot), lower))
-    return F.aggregate(found, F.lit(0.0), lambda total, x: total + x) / F.size(found)
-
-
-def calibrate(scored: DataFrame, column: str, accepted: str) -> float:
+    yes = _witten_bell(counts, "yes").select(F.col("order"), F.col("gram"), F.col("p").alias("_yes"))
+    no = _witten_bell(counts, "no").select(F.col("gram").alias("_h"), F.col("p").alias("_no"))
+    units = F.round(F.log(F.col("_yes") / F.col("_no")) * UNITS).cast("bigint")
+    ratios = written(yes.join(no, F.col("gram") == F.col("_h")).select("order", "gram", units.alias("units")), "ratios")
+    shorter = ratios.filter(F.col("order") < ORDER).select(F.col("gram").alias("_shorter"), F.col("units").alias("_below"))
+    joined = ratios.join(shorter, (F.col("order") > 0) & (F.substring(F.col("gram"), 2, ORDER) == F.col("_shorter")), "left")
+    return written(joined.select("order", "gram", "units", (F.col("units") - F.coalesce("_below", F.lit(0))).alias("gain")), "model")
+
+
+def scores(values: DataFrame, value: str, key: str, model: DataFrame) -> DataFrame:
+    """``values`` with ``log_ratio``: mean log difference per character, by the longest context that the model knows.
+
+    ``key`` is different for each row. An n-gram that the model lacks adds nothing.
+    """
+    grams = values.select(F.col(key).alias("_of"), F.explode(_grams(F.col(value))).alias("_gram"))
+    known = model.select("gram", "gain")
+    sums = grams.join(known, F.col("_gram") == F.col("gram")).groupBy("_of").agg(F.sum("gain").alias("_sum"))
+    mean = F.coalesce("_sum", F.lit(0)) / UNITS / F.size(_contexts(F.col(value))[0])
+    return values.join(sums, F.col(key) == F.col("_of"), "left").withColumn("log_ratio", mean).drop("_of", "_sum")
+
+
+def score(value: Column, model: DataFrame) -> Column:
+    """``scores`` as an expression, which holds the whole model as a constant: for small models only."""
+    known = F.from_json(F.lit(json.dumps({r.gram: r.gain for r in model.select("gram", "gain").collect()})), "map<string,bigint>")
+    total = F.aggregate(_grams(value), F.lit(0).cast("bigint"), lambda total, gram: total + F.coalesce(known[gram], F.lit(0)))
+    return total / UNITS / F.size(_contexts(value)[0])
+
+
+def calibrate(scored: DataFrame, column: str, accepted: str, times: str) -> float:
     """The limit with the least sum of the shares of accepted URLs below and rejected ones above it.
 
-    Scores are counted in bins, of which there is a fixed number. Of equal limits
-    the lowest is taken.
+    Each row counts ``times`` times. Scores are counted in bins, of which there is a
+    fixed number. Of equal limits the lowest is taken, in the middle of the empty bins
+    below it: a URL that trained neither model scores nearer to zero than those that did.
     """
     clipped = F.greatest(F.lit(-LIMIT * BINS), F.least(F.lit(LIMIT * BINS), F.floor(F.col(column) * BINS))).cast("int")
     bins = scored.filter(F.col(accepted).isNotNull()).groupBy(clipped.alias("bin")).agg(
-        F.count_if(accepted).alias("yes"), F.count_if(~F.col(accepted)).alias("no")
+        F.sum(F.when(F.col(accepted), F.col(times)).otherwise(0)).alias("yes"),
+        F.sum(F.when(~F.col(accepted), F.col(times)).otherwise(0)).alias("no"),
     )
     rows = sorted(bins.collect())  # at most 2 * LIMIT * BINS + 1
     yes, no = sum(r.yes for r in rows), sum(r.no for r in rows)
     if not yes or not no:
         return float("-inf")
-    best, limit, below_yes, below_no = 2.0, -float(LIMIT), 0, 0
+    best, limit, below_yes, below_no, free = 2.0, -float(LIMIT), 0, 0, rows[0].bin
     for row in rows:
         error = below_yes / yes + (no - below_no) / no
         if error < best:
-            best, limit = error, row.bin / BINS
+            best, limit = error, (free + row.bin) / 2 / BINS
+        free = row.bin + 1
         below_yes, below_no = below_yes + row.yes, below_no + row.no
     return limit
 
@@ -181,9 +198,12 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[Rule] = RULES, kee
     df = pages.select(F.struct(*keep).alias("_row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, verdict = longest_rule(rules, F.col("host"), F.col("path"))
     df = df.withColumns({"rule": rule, "_ruled": verdict, "_value": F.concat("host", "path")})
-    df = df.withColumn("_accepted", F.col("_ruled") == "allow")
-    model = fit(df, "_value", "_accepted")
-    scored = written(df.withColumn("log_ratio", score(F.col("_value"), model)), "scores")
-    limit = calibrate(scored, "log_ratio", "_accepted")
+    # host and path, and so the verdict of a rule, follow from their concatenation: a host holds no "/", a path starts with one
+    values = df.groupBy("_value", (F.col("_ruled") == "allow").alias("_accepted")).agg(F.count("*").alias("_times"))
+    values = written(values.withColumn("_key", F.monotonically_increasing_id()), "values")
+    model = fit(values, "_value", "_accepted", "_times")
+    scored = written(scores(values, "_value", "_key", model).withColumnRenamed("_value", "_scored"), "scores")
+    limit = calibrate(scored, "log_ratio", "_accepted", "_times")
     by_model = F.when(F.col("log_ratio") >= limit, "allow").otherwise("block")
-    return scored.select("_row", "host", "path", "rule", F.coalesce("_ruled", by_model).alias("verdict"), "log_ratio")
+    joined = df.join(scored.select("_scored", "log_ratio"), F.col("_value") == F.col("_scored"))
+    return joined.select("_row", "host", "path", "rule", F.coalesce("_ruled", by_model).alias("verdict"), "log_ratio")
