@@ -237,6 +237,31 @@ def test_pages_give_their_articles(spark):
         assert r.text == "\n".join(filter(None, parts)) and r.n_chars == len(r.text)
 
 
+LONG_BODY, ITEM = "many words of the body " * 20, "<li>an item of the long list of this page</li>"
+WHOLE = {
+    "nested": f"<article><h1>Title</h1><p class=lead>Lead</p><div class=body><p>{LONG_BODY}</p></div></article>",
+    "sections": f"<main><section class=a><p>first part</p></section><section class=b><p>{LONG_BODY}</p></section></main>",
+    "list": f"<article><p>Before the list</p><ul>{ITEM * 30}</ul><p>After it</p></article>",
+    "table": f"<article><p>Before the table</p><table><tbody><tr><td>{LONG_BODY}</td></tr></tbody></table></article>",
+    "plain": f"<div class=post><h1>Title</h1><p class=lead>Lead</p><div class=text><p>{LONG_BODY}</p></div></div>",
+    "halves": f"<div class=post><div class=one><p>{LONG_BODY}</p></div><div class=two><p>{LONG_BODY * 2}</p></div></div>",
+}
+
+
+def test_whole_articles(spark):
+    """Nested bodies, unlike sections, long lists and tables: nothing of the article is lost, nothing around it is kept."""
+    import html
+
+    rows = [(n, f"http://{n}.org/{k}", f"<body><nav>Menu</nav><div class=note><p>x</p></div>{page}<footer>End</footer></body>") for n, page in WHOLE.items() for k in range(3)]
+    found = html_text.extract(spark.createDataFrame(rows, "name string, url string, html string")).select("_row.name", "text").collect()
+    assert len(found) == len(rows)
+    for r in found:
+        parts = [" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:p|h1|li|td)[^>]*>", WHOLE[r.name])]
+        assert r.text == "\n".join(filter(None, parts)), r.name
+    for page in WHOLE.values():
+        assert len(html_text.text_below(html_text.blocks_of(page), "html>gone").split("\n")) > 1
+
+
 def test_consensus_overrules_a_page(spark):
     body = "<html><body><div class='main'><p>{}</p></div><div class='extra'><p>{}</p></div></body></html>"
     rows = [(k, "http://h.org/x", body.format("main words " * 30, "little")) for k in range(9)]

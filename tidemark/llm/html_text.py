@@ -8,6 +8,12 @@ after it, and the path with most votes wins. Then the pages of the host are read
 again and give the blocks below the winning path; a page without that path gives
 those of its own best container.
 
+The path with most votes may be a part of the article only: its body without title
+and lead, the largest of unlike sections, a long list. So it is raised to the
+``article`` or ``main`` around it. Where there is none, it is raised to the lowest
+ancestor that holds at least ``NEARLY_ALL`` of the text, and on through those that
+have blocks of their own on half of the pages, short of ``body``.
+
 Not text: whatever is inside menus, headers (but for an article's own), footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, told by
 tag, role, class or id.
@@ -46,6 +52,7 @@ SKIPPED_NAMES = frozenset(
     "subscribe subscription signup login comment comments commentlist disqus respond reply replies share sharing social related "
     "recommended widget pagination pager form search hidden".split()
 )
+NEARLY_ALL = 0.8
 #: An opening tag closes these, if one is open below the nearest container.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -178,37 +185,90 @@ def best_path(scores: dict[str, float]) -> str:
     return min(scores, key=lambda path: (-scores[path], path), default="")
 
 
+def shares_of(blocks: list[tuple[tuple[str, ...], str, int]]) -> dict[str, tuple[float, int]]:
+    """For each container path and its ancestors up to "", the page: share of the text in it, and whether it has blocks of its own."""
+    held: dict[tuple[str, ...], int] = {}
+    for path, words, link_chars in blocks:
+        held[path] = held.get(path, 0) + max(0, len(words) - 2 * link_chars)
+    total, below = sum(held.values()), {}
+    if not total:
+        return {}
+    for path, chars in held.items():
+        key = ">".join(path)
+        below[key] = below.get(key, 0) + chars
+        for tag in reversed(path):
+            key = key[: max(0, len(key) - len(tag) - 1)]
+            below[key] = below.get(key, 0) + chars
+    own = {">".join(path) for path, chars in held.items() if chars}
+    return {key: (chars / total, int(key in own)) for key, chars in below.items()}
+
+
+def raised(path: str, shares: dict[str, tuple[float, float]]) -> str:
+    """``path``, or its ancestor that is the whole article; ``shares`` as in ``shares_of``, or their sums over pages."""
+    steps = path.split(">") if path else []
+    tags = [step.split(".")[0] for step in steps]
+    if "article" in tags:
+        return ">".join(steps[: tags.index("article") + 1])
+    if "main" in tags:
+        return ">".join(steps[: len(tags) - tags[::-1].index("main")])
+    pages = shares.get("", (0, 0))[0]
+    at = len(steps)
+    while at > 1 and shares.get(">".join(steps[:at]), (0, 0))[0] < NEARLY_ALL * pages:
+        at -= 1
+    for up in range(at - 1, 0, -1):
+        if tags[up - 1] in ("body", "html"):
+            break
+        if 2 * shares.get(">".join(steps[:up]), (0, 0))[1] >= pages:
+            at = up
+    return ">".join(steps[:at])
+
+
 def text_below(blocks: list[tuple[tuple[str, ...], str, int]], path: str) -> str:
     """Blocks below ``path``, or below the page's own best container if it has none there."""
     steps = path.split(">") if path else []
     inside = [b[1] for b in blocks if steps and list(b[0][: len(steps)]) == steps]
     if not inside and blocks:
-        own = best_path(scores_of(blocks)).split(">")
+        own = raised(best_path(scores_of(blocks)), shares_of(blocks)).split(">")
         inside = [b[1] for b in blocks if list(b[0][: len(own)]) == own] or [b[1] for b in blocks]
     return "\n".join(inside)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, paths, votes = [], [], []
+        hosts, paths, votes, held, own = [], [], [], [], []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            scores = scores_of(blocks_of(page.as_py()))
+            blocks = blocks_of(page.as_py())
+            scores = scores_of(blocks)
             total = sum(scores.values())
-            for path, score in scores.items():
+            for path, (share, has_own) in shares_of(blocks).items():
                 hosts.append(host)
                 paths.append(path)
-                votes.append(int(1000 * score / total))
+                votes.append(int(1000 * scores.get(path, 0.0) / total))
+                held.append(round(1000 * share))
+                own.append(1000 * has_own)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(votes, pa.int64())], names=["host", "path", "votes"]
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), *(pa.array(x, pa.int64()) for x in (votes, held, own))],
+            names=["host", "path", "votes", "held", "own"],
         )
 
 
+def _raise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+        found = [raised(path, {x["up"]: (x["held"], x["own"]) for x in around}) for _, path, around in rows]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["host", "path"])
+
+
 def host_paths(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """``host`` and its winning ``path``."""
-    votes = with_host(pages.select(url, page), url).select("host", page).mapInArrow(_votes, "host string, path string, votes bigint")
+    """``host`` and its winning ``path``, raised to the whole article."""
+    votes = with_host(pages.select(url, page), url).select("host", page).mapInArrow(_votes, "host string, path string, votes bigint, held bigint, own bigint")
     best = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
-    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return summed.withColumn("_n", F.row_number().over(best)).filter("_n = 1").select("host", "path")
+    summed = written(votes.groupBy("host", "path").agg(*[F.sum(x).alias(x) for x in ("votes", "held", "own")]), "votes")
+    won = summed.filter("path <> ''").withColumn("_n", F.row_number().over(best)).filter("_n = 1").select(F.col("host").alias("_host"), F.col("path").alias("_path"))
+    above = (F.col("path") == "") | (F.col("path") == F.col("_path")) | F.col("_path").startswith(F.concat("path", F.lit(">")))
+    around = F.collect_list(F.struct(F.col("path").alias("up"), "held", "own")).alias("around")
+    steps = summed.join(won, (F.col("host") == F.col("_host")) & above).groupBy("host", "_path").agg(around)
+    return steps.mapInArrow(_raise, "host string, path string")
 
 
 def with_host(pages: DataFrame, url: str = "url") -> DataFrame:
