@@ -11,6 +11,14 @@ most ``rows_per_language`` rows, those with the least hash of their id, of at mo
 ``chars_per_row`` characters each. So the model that each task loads is bounded,
 whatever the corpus. Everything else covers every row and the whole text.
 
+The score says which taught language is nearest, not whether it is one of them, and
+it grows with length. That is what ``known`` is for: the mean over the words of 1 for a
+word that training rows know, and else the share of its characters under known n-grams
+of at least ``TELLING`` characters. ``known_least`` has the limit for the predicted
+language: the lower quartile of its training rows, each measured against the other half
+of them, less ``REACH`` times their quartile distance or ``SPREAD``, whichever is larger.
+A language with one training row has the limit 0.
+
 Defined results: a null text or one without a letter is ``und`` with score 0; with
 no labelled row every text is ``und``; ties go to the language that sorts first.
 """
@@ -30,6 +38,9 @@ from tidemark.sources.scratch import written
 
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
+#: Shorter n-grams are known for letters in any order.
+TELLING = 4
+REACH, SPREAD = 4, 0.03
 TEMPERATURE = 0.25
 WORD_MEMO = 400_000
 WORDS_AT_ONCE = 50_000
@@ -94,46 +105,72 @@ class Model(dict):
     def __init__(self, langs: list[str], words: dict[str, tuple], grams: dict[str, tuple]):
         super().__init__()
         self.langs, self.words, self.grams = langs, words, grams
-        self.table = np.zeros((len(words) + WORD_MEMO, len(langs)))
+        self.table = np.zeros((len(words) + WORD_MEMO, len(langs) + 1))  # the last column: how well known
         self.reset()
 
     def reset(self) -> None:
         self.clear()
         self.update((w, k) for k, w in enumerate(self.words))
         if self.words:
-            self.table[: len(self.words)] = list(self.words.values())
+            self.table[: len(self.words), :-1] = list(self.words.values())
+            self.table[: len(self.words), -1] = 1
 
     def backoff(self, word: str) -> tuple:
         """Mean over the longest known n-grams from left to right; a character nobody knows adds nothing."""
-        padded, at, found, grams = f"_{word}_", 0, [], self.grams
+        return self.backed(word)[0]
+
+    def backed(self, word: str) -> tuple[tuple, float]:
+        """``backoff`` and the share of the characters that n-grams of ``TELLING`` or more cover."""
+        padded, at, found, grams, told = f"_{word}_", 0, [], self.grams, 0
         size = len(padded)
         while at < size:
             for order in ORDERS:
                 if at + order <= size and (scores := grams.get(padded[at : at + order])) is not None:
                     found.append(scores)
                     at += order
+                    told += order if order >= TELLING else 0
                     break
             else:
                 at += 1
-        return tuple([sum(column) / len(found) for column in zip(*found, strict=True)]) if found else (0.0,) * len(self.langs)
+        means = tuple([sum(column) / len(found) for column in zip(*found, strict=True)]) if found else (0.0,) * len(self.langs)
+        return means, told / size
 
     def __missing__(self, word: str) -> int:
         at = len(self)
-        self.table[at] = self.backoff(word)
+        self.table[at, :-1], self.table[at, -1] = self.backed(word)
         self[word] = at
         return at
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score and ``known``."""
         words = WORD.findall((text or "").lower())
         if not words or not self.langs:
-            return "und", 0.0
-        sums = np.zeros(len(self.langs))
+            return "und", 0.0, 0.0
+        sums = np.zeros(len(self.langs) + 1)
         for at in range(0, len(words), WORDS_AT_ONCE):
             if len(self) + WORDS_AT_ONCE > len(self.table):
                 self.reset()
             sums += self.table[list(map(self.__getitem__, words[at : at + WORDS_AT_ONCE]))].sum(axis=0)
+        sums, told = sums[:-1], float(sums[-1])
         best = int(sums.argmax())
-        return self.langs[best], float(1 / np.exp(np.maximum(-700.0, TEMPERATURE * (sums - sums[best]))).sum())
+        score = float(1 / np.exp(np.maximum(-700.0, TEMPERATURE * (sums - sums[best]))).sum())
+        return self.langs[best], score, told / len(words)
+
+
+def _least_known(table: pa.Table) -> pa.Table:
+    """Lower fence of ``known`` over the training rows of one language, each half of them against the other."""
+    rows = [w for t in sorted(table.column("text").to_pylist()) if (w := WORD.findall(t.lower()))]
+    shares = []
+    for own in (0, 1):
+        words = {w: () for row in rows[1 - own :: 2] for w in row}
+        grams = {f"_{w}_"[at : at + order]: () for w in words for order in ORDERS if order >= TELLING for at in range(len(w) + 3 - order)}
+        model = Model.__new__(Model)
+        model.langs, model.grams = [], grams
+        covered = {w: 1.0 if w in words else model.backed(w)[1] for row in rows[own::2] for w in row}
+        shares += [sum(covered[w] for w in row) / len(row) for row in rows[own::2]]
+    low, high = np.percentile(shares, (25, 75)) if len(rows) > 1 else (0.0, 0.0)
+    least = max(0.0, float(low - REACH * max(high - low, SPREAD)))
+    return pa.table({"lang": table.column("lang")[:1], "least": pa.array([least], pa.float64())})
 
 
 #: The model of this worker process, by the name of the run.
@@ -144,17 +181,19 @@ def identify(
     docs: DataFrame, training: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
     rows_per_language: int = 250, chars_per_row: int = 10_000, keep: list[str] | None = None,
 ) -> DataFrame:
-    """``keep`` columns of ``docs`` as a struct ``_row`` with ``lang_pred`` and ``score``; learns from ``training`` alone."""
+    """``keep`` columns of ``docs`` as a struct ``_row`` with ``lang_pred``, ``score``, ``known`` and ``known_least``; learns from ``training`` alone."""
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
-    learnt = fit(written(sample(training, doc_id, text, lang, rows_per_language, chars_per_row), "sample"))
+    taught = written(sample(training, doc_id, text, lang, rows_per_language, chars_per_row), "sample")
+    learnt = fit(taught)
+    least = dict(taught.groupBy("lang").applyInArrow(_least_known, "lang string, least double").collect())  # one row a language
     langs: list[str] = []
     words, grams = {}, {}
     for kind, unit, langs, scores in learnt.collect():  # bounded by the sample
         (words if kind == 0 else grams)[unit] = tuple(scores)
     shared, name = spark.sparkContext.broadcast((langs, words, grams)), uuid.uuid4().hex
     packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
-    schema = packed.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = packed.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"), F.lit(0.0).alias("known_least")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _LOADED:
@@ -164,8 +203,11 @@ def identify(
         for batch in batches:
             found = [model.predict(value.as_py()) for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=["_row", "lang_pred", "score"],
+                [
+                    batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                    pa.array([f[2] for f in found], pa.float64()), pa.array([least.get(f[0], 0.0) for f in found], pa.float64()),
+                ],
+                names=["_row", "lang_pred", "score", "known", "known_least"],
             )
 
     return packed.mapInArrow(run, schema)
