@@ -11,7 +11,9 @@ Per language and source, a metric is an outlier when it lies beyond the quartile
 by ``reach`` times the larger of the quartile distance and a least spread. A group
 of under ``min_rows`` rows takes its language's sketch, and a language that small
 the corpus'. A group whose own median is an outlier of its language takes the
-language's limits too, so a source of junk does not set its own standard.
+language's limits too, and so does one whose upper (for lower limits: lower) quartile
+is beyond the language's limit on that side, so a source of junk does not set its own
+standard.
 
 Defined results: a null text has no words and fails the base rules; a null
 language or source is a group of its own; repeated rows are judged alike; an
@@ -176,6 +178,7 @@ def thresholds(sketch: DataFrame, lang: str, source: str, limits=LIMITS, min_row
         room = constants[F.col("metric")] * F.greatest(F.col("q75") - F.col("q25"), spreads[F.col("metric")])
         return q.select(
             *groups, "metric", F.col("n").alias(f"{prefix}_n"), F.col("q50").alias(f"{prefix}_mid"),
+            F.col("q75").alias(f"{prefix}_q_hi"), F.col("q25").alias(f"{prefix}_q_lo"),
             (F.col("q75") + room).alias(f"{prefix}_hi"), (F.col("q25") - room).alias(f"{prefix}_lo"),
         )
 
@@ -191,8 +194,9 @@ def thresholds(sketch: DataFrame, lang: str, source: str, limits=LIMITS, min_row
         wide[f"_{side}_lang"] = F.when(few_lang, F.col(f"all_{side}")).otherwise(F.col(f"lang_{side}"))
     joined = joined.withColumns(wide)
     odd = (F.col("own_mid") > F.col("_hi_lang")) | (F.col("own_mid") < F.col("_lo_lang"))
+    beyond = {"hi": F.col("own_q_hi") > F.col("_hi_lang"), "lo": F.col("own_q_lo") < F.col("_lo_lang")}
     for side in ("hi", "lo"):
-        joined = joined.withColumn(f"_{side}", F.when(few_own | odd, F.col(f"_{side}_lang")).otherwise(F.col(f"own_{side}")))
+        joined = joined.withColumn(f"_{side}", F.when(few_own | odd | beyond[side], F.col(f"_{side}_lang")).otherwise(F.col(f"own_{side}")))
     columns = []
     for m in limits:
         for side in ("hi", "lo") if m.lower else ("hi",):
