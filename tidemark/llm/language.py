@@ -56,11 +56,16 @@ def words_of(text: Column) -> Column:
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, rows_per_language: int, chars_per_row: int) -> DataFrame:
     """``lang`` and ``text`` of the training rows, at most ``rows_per_language`` a language.
 
+    A longer text gives its words up to ``chars_per_row``, or part of one if it starts with a longer word.
+
     Ranks are cut in each task before the shuffle, so a common language sends a
     bounded number of rows too.
     """
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id)).alias("_at"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars_per_row))
+    start = F.substring(F.col(text), 1, chars_per_row)
+    whole = F.regexp_replace(F.substring(F.col(text), 1, chars_per_row + 1), r"\p{L}+\z", "")
+    short = F.when(F.length(F.col(text)) <= chars_per_row, F.col(text)).otherwise(F.when(whole.rlike(r"\p{L}"), whole).otherwise(start))
+    rows = docs.select(F.col(lang).alias("lang"), short.alias("text"), F.xxhash64(F.col(doc_id)).alias("_at"))
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     best = Window.partitionBy("lang").orderBy("_at", "text")
     return rows.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= rows_per_language).select("lang", "text")
 
