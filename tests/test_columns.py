@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,5 +101,14 @@ def test_exact_sums(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (-0.35,), (None,), (9e12,)], "x double")
     assert df.agg(exact_sum("x"), exact_avg("x")).first()[0] == 8999999999999.95
     huge = spark.range(1000).select(F.lit(9e13).alias("x"))
-    assert huge.agg(exact_total("x").cast("string")).first()[0] == "90000000000000000.00"
+    assert huge.agg(exact_total("x").cast("string")).first()[0] == "90000000000000000.000000"
+    assert huge.agg(exact_avg("x")).first()[0] == 9e13
     assert df.filter("x > 1e15").agg(exact_sum("x")).first()[0] is None
+
+
+def test_exact_sums_on_both_sides_of_a_long(spark):
+    values = [9e12, 1e13, -1e13, 9.3e12, -9.3e12, 0.25, 123456789012345680.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    want = sum(map(Decimal, values))
+    assert df.agg(exact_total("x")).first()[0] == want
+    assert df.agg(exact_avg("x")).first()[0] == float(want) / len(values)

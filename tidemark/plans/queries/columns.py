@@ -331,5 +331,4 @@ def explode_array(t):
     f"WITH {CLICKSTREAM_SQL} SELECT event_id, device, unit, price FROM clickstream",
 )
 def nested_projection(t):
-    rows = clickstream(t).select("event_id", "device", "ecommerce.unit", "ecommerce.price")
-    return rows.filter("device IS NOT NULL")
+    return clickstream(t).select("event_id", "device", "ecommerce.unit", "ecommerce.price")

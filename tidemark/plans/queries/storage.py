@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import dimensions as D
 from tidemark.operators import metrics as M
+from tidemark.operators.windows import latest_per_key
 from tidemark.plans.registry import query
 from tidemark.plans.views import SUBSCRIBERS_SQL, ntz, subscribers
 from tidemark.sources import scans, sinks
@@ -180,9 +181,14 @@ def bulk_load_stream(t):
     """,
 )
 def scd1_repeated_keys(t):
-    """Every order is a row of the batch, so a buyer's key comes many times; the newest order counts."""
+    """Every order is a row of the batch, so a buyer's key comes many times; the newest order counts.
+
+    Orders without a buyer are one group: the newest of them is inserted.
+    """
     target = t("customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("none").alias("last_order"), ntz("2024-01-01 00:00:00").alias("at"))
-    batch = t("orders").filter("o_custkey IS NOT NULL").select("o_custkey", F.col("o_orderkey").cast("string").alias("last_order"), "o_orderdate", "o_orderkey")
+    orders = t("orders").select("o_custkey", F.col("o_orderkey").cast("string").alias("last_order"), "o_orderdate", "o_orderkey")
+    nobody = latest_per_key(orders.filter("o_custkey IS NULL"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")])
+    batch = orders.filter("o_custkey IS NOT NULL").unionByName(nobody)
     merged = D.scd1_merge(
         target, batch, "o_custkey", ["last_order"], "at", ntz("2024-06-01 00:00:00"), newest=[F.desc("o_orderdate"), F.desc("o_orderkey")]
     )
