@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import string
+
+from tidemark.llm.license_scan import PHRASES, TEMPLATES, needed
+
 WORDS = r"[x FOR x IN string_split_regex({text}, '[\x20\x09-\x0D]+') IF x <> '']"
 
 CHAT = r"""
@@ -93,3 +97,34 @@ y AS (SELECT m.r, BOOL_OR(COALESCE(x.v > hi + room OR (x.k = 2 AND x.v < lo - ro
 j AS (SELECT c.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, outlier FROM c JOIN y ON c.r = y.r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT outlier AS kept FROM j
 """
+
+
+def licenses(share: float = 0.8) -> str:
+    """All blocks against all templates, and all places against all phrases."""
+    span = max(len(t.text.split()) for t in TEMPLATES)
+    places = []
+    for phrase in PHRASES:
+        tests = " AND ".join(f"w[i + {k + 1}] = '{word}'" for k, word in enumerate(phrase.split()))
+        places.append(f"[i FOR i IN range(0, len(w) - {len(phrase.split()) - 1}) IF {tests}]")
+    base = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, label in enumerate(PHRASES.values()))
+    every = " || ".join(f"p{k}" for k in range(len(places)))
+    templates = ", ".join(f"('{t.label}', {t.tokens}, {needed(t, share)})" for t in TEMPLATES)
+    return rf"""
+WITH t(label, tokens, need) AS (VALUES {templates}),
+d AS (SELECT ROW_NUMBER() OVER () AS r, doc_id, regexp_extract_all(
+        translate(COALESCE(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT r, doc_id, w, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM d),
+e AS (SELECT *, {every} AS stands, list_distinct([x FOR x IN [{base}] IF x IS NOT NULL]) AS base FROM p),
+b AS (SELECT r, list_distinct(w[k * {span} + 1 : (k + 2) * {span}]) AS block
+      FROM (SELECT r, w, UNNEST(range(0, GREATEST(CAST(CEIL((len(w) - {span}) / {span}) AS BIGINT), 1))) AS k FROM d)),
+c AS (SELECT r, label, need, len(tokens) AS n, len(list_intersect(tokens, block)) AS common FROM b, t),
+f AS (SELECT r, list(DISTINCT label) AS more, MAX(common / n) AS best FROM c WHERE common >= need GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(stands) AS BIGINT) AS n_base, list_min(stands) AS first_word, list_max(stands) AS last_word,
+       array_to_string(list_sort(base), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || COALESCE(more, []))), ',') AS labels,
+       CASE WHEN len(stands) > 0 THEN 1.0::DOUBLE ELSE COALESCE(best, 0.0::DOUBLE) END AS score
+FROM e LEFT JOIN f ON e.r = f.r
+"""
+
+
+LICENSES = licenses()

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, html_text, language, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
+    chat, html_text, language, license_scan, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
 )
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
     "op6_chat_format": oracles.CHAT, "op7_mix_sources": oracles.MIX, "op8_quality_rules": oracles.QUALITY,
+    "op11_license_scan": oracles.LICENSES,
 }
 
 
@@ -90,3 +91,9 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     training = docs.filter(~held_out & F.col("lang").isNotNull())
     out = language.identify(docs, training, keep=["doc_id"]).select("_row.doc_id", "lang_pred", "score")
     return out.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    out = license_scan.scan(table(spark, folder, "documents"), keep=["doc_id"])
+    return out.select("_row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
