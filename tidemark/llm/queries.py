@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, html_text, language, license_scan, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
+    chat, html_text, language, license_scan, merkle, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
 )
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
     "op6_chat_format": oracles.CHAT, "op7_mix_sources": oracles.MIX, "op8_quality_rules": oracles.QUALITY,
-    "op11_license_scan": oracles.LICENSES,
+    "op11_license_scan": oracles.LICENSES, "op12_merkle_manifest": oracles.MERKLE,
 }
 
 
@@ -97,3 +97,8 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     out = license_scan.scan(table(spark, folder, "documents"), keep=["doc_id"])
     return out.select("_row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.prove(table(spark, folder, "documents"))
