@@ -170,3 +170,19 @@ FROM d{last} d JOIN d0 ON d.r = d0.r JOIN t{levels} s ON s.g = d0.g
 
 
 MERKLE = merkle()
+
+SEARCH = rf"""
+WITH t AS (SELECT r, doc_id, UNNEST(regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT ROW_NUMBER() OVER () AS r, doc_id, text FROM documents)),
+q AS (SELECT DISTINCT item_id, UNNEST(regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+p AS (SELECT r, doc_id, term, COUNT(*) AS tf FROM t GROUP BY r, doc_id, term),
+n AS (SELECT r, COUNT(*) AS n FROM t GROUP BY r),
+s AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS terms FROM n),
+m AS (SELECT r, 100 - 50 + ((50 * n * docs) // terms) AS m FROM n, s),
+w AS (SELECT term, CAST(FLOOR(1000 * ln((2 * docs + 2)::DOUBLE / (2 * COUNT(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM p, s GROUP BY term, docs),
+x AS (SELECT item_id, r, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 50
+"""

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, html_text, language, license_scan, merkle, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
+    chat, html_text, language, lexical_search, license_scan, merkle, mixing, oracles, order_minhash, quality, sentencepiece, simhash, token_store, url_filter,
 )
 from tidemark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {
     "op6_chat_format": oracles.CHAT, "op7_mix_sources": oracles.MIX, "op8_quality_rules": oracles.QUALITY,
-    "op11_license_scan": oracles.LICENSES, "op12_merkle_manifest": oracles.MERKLE,
+    "op11_license_scan": oracles.LICENSES, "op12_merkle_manifest": oracles.MERKLE, "op13_lexical_search": oracles.SEARCH,
 }
 
 
@@ -102,3 +102,9 @@ def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.prove(table(spark, folder, "documents"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = lexical_search.build(table(spark, folder, "documents"))
+    return lexical_search.search(index, table(spark, folder, "benchmark"))
