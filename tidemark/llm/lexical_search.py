@@ -14,7 +14,7 @@ state is a range of documents with, for each of the terms, the node that covers
 sum of weight times maximum bounds the score of every document in the range. The best
 states are opened first, many at a time: each gives two half ranges, in which every term
 goes to its own quarter or drops out. A single document's bound is its score. States
-below the item's ``k``-th best score of this task go unopened. Each block gives an item at
+below the item's ``k``-th best score so far in this task go unopened. Each block gives an item at
 most ``k`` documents, and the best of all blocks are ranked by two windows.
 
 Items meet blocks in groups of ``ITEMS_AT_ONCE``, by an equality join on the number of the
@@ -47,7 +47,7 @@ TERM = re.compile(rb"[0-9a-z\x80-\xff]+")
 SCALE = 1_000_000_000
 BLOCK_POSTINGS, BLOCK_DOCS = 1 << 20, 1 << 15
 ITEMS_AT_ONCE = 512
-OPENED = 64
+OPENED = 256
 TOP = 50
 
 
@@ -127,40 +127,39 @@ class Tree:
 def best_documents(tree: Tree, rows: np.ndarray, weights: np.ndarray, k: int, floor: int = 0) -> list[tuple[int, int]]:
     """``(score, column)`` of the ``k`` best columns above 0 and not below ``floor``, equal scores by column.
 
-    Rows descend jointly; the ``OPENED`` best ranges are opened at a time. A document is
-    final once no open range can beat it or tie with it at a lower column.
+    Rows descend jointly; the ``OPENED`` best ranges are opened at a time. Once ``k``
+    documents are found, ranges below the worst of them are closed; ranges that can tie
+    with it stay, so the search ends with every document that may belong to the best.
     """
-    height = tree.height
-    start = np.zeros(len(rows), dtype=np.int64)
-    heap: list[tuple[int, int, int, np.ndarray]] = [(-int((weights * tree.top[start]).sum()), 0, 0, start)]
-    found: list[tuple[int, int]] = []
-    while heap and len(found) < k:
-        opened: list[tuple[int, int, int, np.ndarray]] = []
-        while heap and len(opened) < OPENED:
-            bound, column, level, nodes = heap[0]
-            if level == height:
-                if opened:
-                    break  # wait for what may still come before it
-                heapq.heappop(heap)
-                found.append((-bound, column))
-                if len(found) == k:
-                    return found
-                continue
-            opened.append(heapq.heappop(heap))
-        if not opened:
-            break
-        levels = np.array([o[2] for o in opened])
-        columns = np.array([o[1] for o in opened])
-        nodes = np.stack([o[3] for o in opened])
-        shift = height - 1 - levels
-        row_bits = (rows[None, :] >> shift[:, None]) & 1
-        for half in (0, 1):
-            below = tree.quarter(nodes, row_bits * 2 + half)
-            bounds = (np.where(below >= 0, tree.top[np.maximum(below, 0)], 0) * weights).sum(axis=1)
-            starts = columns + (half << shift)
-            for j in np.flatnonzero((bounds > 0) & (bounds >= floor)).tolist():
-                heapq.heappush(heap, (-int(bounds[j]), int(starts[j]), int(levels[j]) + 1, below[j]))
-    return found
+    shift = np.array([tree.height - 1])  # of the bit that tells the halves of a range apart; -1: a single document
+    column, nodes = np.zeros(1, dtype=np.int64), np.zeros((1, len(rows)), dtype=np.int64)
+    bound = (weights * tree.top[nodes]).sum(axis=1)
+    found_at, found = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    while len(bound):
+        best = np.argpartition(-bound, OPENED)[:OPENED] if len(bound) > OPENED else np.arange(len(bound))
+        rest = np.ones(len(bound), dtype=bool)
+        rest[best] = False
+        own, at, bits = nodes[best], column[best], shift[best]
+        row_bits = ((rows[None, :] >> bits[:, None]) & 1) * 2
+        below = np.concatenate([tree.quarter(own, row_bits), tree.quarter(own, row_bits + 1)])
+        starts, left = np.concatenate([at, at + (1 << bits)]), np.concatenate([bits, bits]) - 1
+        bounds = (np.where(below >= 0, tree.top[below], 0) * weights).sum(axis=1)
+        fits = (bounds > 0) & (bounds >= floor)
+        done = fits & (left < 0)
+        if done.any():
+            found, found_at = np.concatenate([found, bounds[done]]), np.concatenate([found_at, starts[done]])
+            if len(found) >= k:
+                order = np.lexsort((found_at, -found))[:k]
+                found, found_at = found[order], found_at[order]
+                floor = max(floor, int(found[-1]))
+        more = fits & (left >= 0)
+        bound, column = np.concatenate([bound[rest], bounds[more]]), np.concatenate([column[rest], starts[more]])
+        shift, nodes = np.concatenate([shift[rest], left[more]]), np.concatenate([nodes[rest], below[more]])
+        if len(bound) and int(bound.min()) < floor:
+            open_ = bound >= floor
+            bound, column, shift, nodes = bound[open_], column[open_], shift[open_], nodes[open_]
+    order = np.lexsort((found_at, -found))[:k]
+    return list(zip(found[order].tolist(), found_at[order].tolist(), strict=True))
 
 
 # ---- index
@@ -253,17 +252,19 @@ def _searched(k: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 ids, terms, packed, items = (batch.column(c)[at] for c in range(4))
-                ids, known, tree = ids.as_py(), terms.values, Tree(packed.as_py())
+                ids, tree, items = ids.as_py(), Tree(packed.as_py()), items.as_py()
+                asked = pa.array([t for item in items for t in item["terms"]], pa.string())
+                places = pc.fill_null(pc.index_in(asked, value_set=terms.values), -1).to_numpy().astype(np.int64)
+                ends = np.cumsum([len(item["terms"]) for item in items])
                 owners, docs, scores = [], [], []
-                for item in items.as_py():
-                    rows = pc.index_in(pa.array(item["terms"], pa.string()), value_set=known)
-                    there = np.asarray(rows.is_valid())
+                for item, rows in zip(items, np.split(places, ends[:-1]), strict=True):
+                    there = rows >= 0
                     if not there.any():
                         continue
                     best = floors.setdefault(item["item_id"], [])
                     floor = best[0] if len(best) == k else 0
                     found = best_documents(
-                        tree, np.asarray(rows.drop_null(), dtype=np.int64), np.array(item["weights"], dtype=np.int64)[there], k, floor
+                        tree, rows[there], np.array(item["weights"], dtype=np.int64)[there], k, floor
                     )
                     for score, column in found:
                         owners.append(item["item_id"])
