@@ -85,12 +85,12 @@ q AS (SELECT level, lang, source, k, MAX(total) AS n, MIN(bucket) FILTER (upto *
       FROM u GROUP BY level, lang, source, k),
 h AS (SELECT *, q75 + room AS hi, q25 - room AS lo
       FROM (SELECT *, ([3, 6, 3])[k] * GREATEST(q75 - q25, ([50, 40, 150])[k]) AS room FROM q)),
-o AS (SELECT a.lang, a.source, a.k, a.n, a.q50, a.hi, a.lo,
+o AS (SELECT a.lang, a.source, a.k, a.n, a.q25, a.q50, a.q75, a.hi, a.lo,
              CASE WHEN l.n < 200 THEN z.hi ELSE l.hi END AS far_hi, CASE WHEN l.n < 200 THEN z.lo ELSE l.lo END AS far_lo
       FROM h a JOIN h l ON a.level = 'own' AND l.level = 'lang' AND a.lang IS NOT DISTINCT FROM l.lang AND a.k = l.k
       JOIN h z ON z.level = 'all' AND a.k = z.k),
-t AS (SELECT lang, source, k, CASE WHEN n < 200 OR q50 > far_hi OR q50 < far_lo THEN far_hi ELSE hi END AS hi,
-             CASE WHEN n < 200 OR q50 > far_hi OR q50 < far_lo THEN far_lo ELSE lo END AS lo FROM o),
+t AS (SELECT lang, source, k, CASE WHEN n < 200 OR q50 > far_hi OR q50 < far_lo OR q75 > far_hi THEN far_hi ELSE hi END AS hi,
+             CASE WHEN n < 200 OR q50 > far_hi OR q50 < far_lo OR q25 < far_lo THEN far_lo ELSE lo END AS lo FROM o),
 y AS (SELECT m.r, BOOL_OR(COALESCE(x.v > hi + room OR (x.k = 2 AND x.v < lo - room), FALSE)) AS outlier
       FROM (SELECT *, CASE WHEN x.k = 2 THEN 4000 // GREATEST(n_words, 1) ELSE 0 END AS room FROM m) m
       LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source AND m.x.k = t.k GROUP BY m.r),
