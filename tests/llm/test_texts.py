@@ -3,12 +3,16 @@
 import hashlib
 from collections import Counter
 
+import duckdb
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from compare import difference
 from edges import TEXTS, edge_docs, empty_docs
 from tidemark.llm import components, language, order_minhash, quality, simhash
+from tidemark.llm.queries import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -226,7 +230,9 @@ def test_language_learns_from_long_rows(spark):
 
 
 def test_language_backs_off_to_shorter_grams():
-    model = language.Model(["a", "b"], {"known": (-1.0, -9.0)}, {"abcde": (-1.0, -2.0), "fg": (-3.0, -4.0), "x": (-5.0, -6.0)})
+    model = language.Model(
+        ["a", "b"], {"known": 0}, {"abcde": 1, "fg": 2, "x": 3}, np.array([(-1.0, -9.0), (-1.0, -2.0), (-3.0, -4.0), (-5.0, -6.0)])
+    )
     assert model.backoff("zabcdefgx") == ((-1 - 3 - 5) / 3, (-2 - 4 - 6) / 3)
     assert model.backoff("???") == (0.0, 0.0)
     assert model.predict("known")[0] == "a"
@@ -285,3 +291,33 @@ def test_empty_tables(spark):
     assert simhash.near_duplicates(none).count() == 0
     assert language.identify(none, none, keep=["doc_id"]).count() == 0
     assert order_minhash.fingerprints(none).count() == 0
+
+
+def test_language_needs_a_letter(spark):
+    df = edge_docs(spark, [(1, "½ ² ③ 12", "en", "s"), (2, "plain words", "en", "s"), (3, "wörter² hier", "de", "s"), (4, "Ⅷ ٣", None, "s")])
+    found = {r[0]: r[1:] for r in language.identify(df, df.filter("doc_id in (2, 3)"), keep=["doc_id"]).select("_row.doc_id", "lang_pred", "score").collect()}
+    assert found[1] == ("und", 0.0) and found[4] == ("und", 0.0)
+    assert found[2][0] == "en" and found[3][0] == "de"
+    assert language.WORD.findall("wörter²hier x_y") == ["wörter", "hier", "x", "y"]
+
+
+def test_language_sample_of_repeated_ids(spark):
+    """A third of the rows share an id, hence a hash; the sample stays bounded and the same."""
+    rows = [(k if k % 3 else 7, f"word{k} and more", "en", "s") for k in range(1500)]
+    df = edge_docs(spark, rows)
+    first, again = (sorted(r["text"] for r in language.sample(d, "doc_id", "text", "lang", 50, 100).collect()) for d in (df, df.repartition(7)))
+    assert len(first) == 50 and first == again
+
+
+@pytest.mark.parametrize("percent", [30, 5])
+def test_quality_sql_on_a_source_with_junk(spark, tmp_path, percent):
+    """Code and SQL give the same verdicts where a source's quartile lies in its junk."""
+    text = lambda k: f"plain words number {k} in a normal sentence of this source right here"
+    bad = lambda k: f"# # # # # # # # # word {k} of this advert"
+    rows = [(k, text(k), "en", "s") for k in range(500)]
+    rows += [(5000 + k, bad(k) if k % 100 < percent else text(k), "en", "t") for k in range(400)]
+    df = edge_docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert difference(QUERIES["op8_quality_rules"](spark, str(tmp_path)), con, SQL["op8_quality_rules"]) is None

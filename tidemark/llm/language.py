@@ -26,6 +26,7 @@ no labelled row every text is ``und``; ties go to the language that sorts first.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -42,10 +43,12 @@ SMOOTHING = 0.5
 TELLING = 4
 REACH, SPREAD = 4, 0.03
 TEMPERATURE = 0.25
-WORD_MEMO = 400_000
+WORD_MEMO, MEMO_BYTES = 400_000, 64 << 20
 WORDS_AT_ONCE = 50_000
 NO_WORD = r"\P{L}+"
-WORD = re.compile(r"[^\W\d_]+")
+#: Numbers that Python's classes count as word characters and not as digits, such as squares and fractions.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def words_of(text: Column) -> Column:
@@ -58,16 +61,20 @@ def sample(docs: DataFrame, doc_id: str, text: str, lang: str, rows_per_language
 
     A longer text gives its words up to ``chars_per_row``, or part of one if it starts with a longer word.
 
-    Ranks are cut in each task before the shuffle, so a common language sends a
-    bounded number of rows too.
+    Hashes are ranked alone, and cut in each task before the shuffle. Only rows up to
+    a language's last hash, hence few more than it keeps, send their text.
     """
     start = F.substring(F.col(text), 1, chars_per_row)
     whole = F.regexp_replace(F.substring(F.col(text), 1, chars_per_row + 1), r"\p{L}+\z", "")
     short = F.when(F.length(F.col(text)) <= chars_per_row, F.col(text)).otherwise(F.when(whole.rlike(r"\p{L}"), whole).otherwise(start))
-    rows = docs.select(F.col(lang).alias("lang"), short.alias("text"), F.xxhash64(F.col(doc_id)).alias("_at"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    taught = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    taught = taught.select(F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id)).alias("_at"), short.alias("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("_at"))
+    ranked = taught.select("lang", "_at").withColumn("_n", first).filter(F.col("_n") <= rows_per_language)
+    last = written(ranked.groupBy(F.col("lang").alias("_lang")).agg(F.max("_at").alias("_last")), "last-hashes")
+    near = taught.join(last, (F.col("lang") == F.col("_lang")) & (F.col("_at") <= F.col("_last"))).select("lang", "_at", "text")
     best = Window.partitionBy("lang").orderBy("_at", "text")
-    return rows.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= rows_per_language).select("lang", "text")
+    return near.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= rows_per_language).select("lang", "text")
 
 
 def _ngrams(word: Column, order: int) -> Column:
@@ -105,39 +112,53 @@ def fit(training: DataFrame) -> DataFrame:
 
 
 class Model(dict):
-    """Word to its row of ``table``, one score per language; new words are worked out by backoff and kept, up to ``WORD_MEMO``."""
+    """Word to its row of ``table``, one score per language; new words are worked out by backoff and kept.
 
-    def __init__(self, langs: list[str], words: dict[str, tuple], grams: dict[str, tuple]):
+    ``words`` and ``grams`` give each unit's row of ``scores``. The table has room for
+    ``WORD_MEMO`` new words, fewer where many languages make its rows long.
+    """
+
+    def __init__(self, langs: list[str], words: dict[str, int], grams: dict[str, int], scores: np.ndarray):
         super().__init__()
-        self.langs, self.words, self.grams = langs, words, grams
-        self.table = np.zeros((len(words) + WORD_MEMO, len(langs) + 1))  # the last column: how well known
+        self.langs, self.words, self.grams, self.scores = langs, words, grams, scores
+        room = max(1000, min(WORD_MEMO, MEMO_BYTES // (8 * (len(langs) + 1))))
+        self.at_once = min(WORDS_AT_ONCE, room)
+        self.table = np.zeros((len(words) + room, len(langs) + 1))  # the last column: how well known
+        if words:
+            self.table[: len(words), :-1] = scores[list(words.values())]
+            self.table[: len(words), -1] = 1
         self.reset()
 
+    @classmethod
+    def of(cls, langs: list[str], units: pa.Table) -> Model:
+        """From rows of ``kind``, ``unit`` and ``scores``."""
+        kinds, names = units.column("kind").to_numpy(), units.column("unit").to_pylist()
+        scores = np.asarray(units.column("scores").combine_chunks().flatten(), dtype=np.float64).reshape(-1, max(1, len(langs)))
+        words = {names[k]: k for k in np.flatnonzero(kinds == 0).tolist()}
+        return cls(langs, words, {names[k]: k for k in np.flatnonzero(kinds != 0).tolist()}, scores)
+
     def reset(self) -> None:
         self.clear()
         self.update((w, k) for k, w in enumerate(self.words))
-        if self.words:
-            self.table[: len(self.words), :-1] = list(self.words.values())
-            self.table[: len(self.words), -1] = 1
 
     def backoff(self, word: str) -> tuple:
         """Mean over the longest known n-grams from left to right; a character nobody knows adds nothing."""
-        return self.backed(word)[0]
+        return tuple(self.backed(word)[0].tolist())
 
-    def backed(self, word: str) -> tuple[tuple, float]:
+    def backed(self, word: str) -> tuple[np.ndarray, float]:
         """``backoff`` and the share of the characters that n-grams of ``TELLING`` or more cover."""
         padded, at, found, grams, told = f"_{word}_", 0, [], self.grams, 0
         size = len(padded)
         while at < size:
             for order in ORDERS:
-                if at + order <= size and (scores := grams.get(padded[at : at + order])) is not None:
-                    found.append(scores)
+                if at + order <= size and (row := grams.get(padded[at : at + order])) is not None:
+                    found.append(row)
                     at += order
                     told += order if order >= TELLING else 0
                     break
             else:
                 at += 1
-        means = tuple([sum(column) / len(found) for column in zip(*found, strict=True)]) if found else (0.0,) * len(self.langs)
+        means = self.scores[found].sum(axis=0) / len(found) if found else np.zeros(len(self.langs))
         return means, told / size
 
     def __missing__(self, word: str) -> int:
@@ -152,10 +173,10 @@ class Model(dict):
         if not words or not self.langs:
             return "und", 0.0, 0.0
         sums = np.zeros(len(self.langs) + 1)
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            if len(self) + WORDS_AT_ONCE > len(self.table):
+        for at in range(0, len(words), self.at_once):
+            if len(self) + self.at_once > len(self.table):
                 self.reset()
-            sums += self.table[list(map(self.__getitem__, words[at : at + WORDS_AT_ONCE]))].sum(axis=0)
+            sums += self.table[list(map(self.__getitem__, words[at : at + self.at_once]))].sum(axis=0)
         sums, told = sums[:-1], float(sums[-1])
         best = int(sums.argmax())
         score = float(1 / np.exp(np.maximum(-700.0, TEMPERATURE * (sums - sums[best]))).sum())
@@ -167,10 +188,10 @@ def _least_known(table: pa.Table) -> pa.Table:
     rows = [w for t in sorted(table.column("text").to_pylist()) if (w := WORD.findall(t.lower()))]
     shares = []
     for own in (0, 1):
-        words = {w: () for row in rows[1 - own :: 2] for w in row}
-        grams = {f"_{w}_"[at : at + order]: () for w in words for order in ORDERS if order >= TELLING for at in range(len(w) + 3 - order)}
+        words = {w: 0 for row in rows[1 - own :: 2] for w in row}
+        grams = {f"_{w}_"[at : at + order]: 0 for w in words for order in ORDERS if order >= TELLING for at in range(len(w) + 3 - order)}
         model = Model.__new__(Model)
-        model.langs, model.grams = [], grams
+        model.langs, model.grams, model.scores = [], grams, np.zeros((1, 0))
         covered = {w: 1.0 if w in words else model.backed(w)[1] for row in rows[own::2] for w in row}
         shares += [sum(covered[w] for w in row) / len(row) for row in rows[own::2]]
     low, high = np.percentile(shares, (25, 75)) if len(rows) > 1 else (0.0, 0.0)
@@ -190,20 +211,23 @@ def identify(
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     taught = written(sample(training, doc_id, text, lang, rows_per_language, chars_per_row), "sample")
-    learnt = fit(taught)
+    learnt = written(fit(taught), "model")
     least = dict(taught.groupBy("lang").applyInArrow(_least_known, "lang string, least double").collect())  # one row a language
-    langs: list[str] = []
-    words, grams = {}, {}
-    for kind, unit, langs, scores in learnt.collect():  # bounded by the sample
-        (words if kind == 0 else grams)[unit] = tuple(scores)
-    shared, name = spark.sparkContext.broadcast((langs, words, grams)), uuid.uuid4().hex
+    head = learnt.select("langs").first()
+    langs = list(head[0]) if head else []
+    units = learnt.select("kind", "unit", "scores").toArrow()  # bounded by the sample
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, units.schema) as out:
+        out.write_table(units)
+    shared, name = spark.sparkContext.broadcast(sink.getvalue().to_pybytes()), uuid.uuid4().hex
+    del units, sink
     packed = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
     schema = packed.select("_row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("known"), F.lit(0.0).alias("known_least")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _LOADED:
             _LOADED.clear()
-            _LOADED[name] = Model(*shared.value)
+            _LOADED[name] = Model.of(langs, pa.ipc.open_stream(shared.value).read_all())
         model = _LOADED[name]
         for batch in batches:
             found = [model.predict(value.as_py()) for value in batch.column(1)]
