@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import history as H
 from tidemark.operators import metrics as M
+from tidemark.operators import grams as G
 from tidemark.operators import search as S
+from tidemark.operators import vectors as V
 from tidemark.plans.queries.search import _CATEGORIES, MESSAGES
 
 CATALOG = "name string, database string, description string, tags array<string>, columns array<struct<name: string, type: string>>"
@@ -44,26 +46,70 @@ def brute(values, query, k):
 
 @pytest.mark.parametrize("block", [1024, 4])
 def test_vector_topk_is_exact(spark, monkeypatch, block):
-    monkeypatch.setattr(S, "QUERY_BLOCK", block)
+    monkeypatch.setattr(V, "QUERY_BLOCK", block)
     values, df = vectors(spark, 700)
     odd = spark.createDataFrame([(9000, [1.0]), (9001, None)], "vec_id long, embedding array<float>")
     queries = df.filter("vec_id < 12 AND vec_id <> 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     got = {}
-    for r in S.vector_topk(df.union(odd), queries, 5).orderBy("query_id", F.desc("score"), "vec_id").collect():
+    for r in V.vector_topk(df.union(odd), queries, 5).orderBy("query_id", F.desc("score"), "vec_id").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert got == {i: brute(values, values[i], 5) for i in range(12) if i != 5}
 
 
+def test_postings_round_trip():
+    for numbers in ([], [0], [0, 1, 2], [5, 127, 128, 300, 70_000, 70_001, 2**33]):
+        assert G.decoded(G.encoded(numbers)).tolist() == numbers
+
+
+@pytest.mark.parametrize("block", [3, 1 << 16])
+def test_token_search_equals_contains(spark, monkeypatch, plan, block):
+    """1000 tokens of every length against a contains test of every pair, with awkward rows, in small blocks and groups."""
+    monkeypatch.setattr(G, "BLOCK_ROWS", block)
+    monkeypatch.setattr(G, "TOKENS_AT_ONCE", 300)
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("abcde  é𝕊"), size=rng.integers(0, 60))) for _ in range(80)] + [None, "", "abc" * 40, "abc" * 40]
+    tokens = ["".join(rng.choice(list("abcde é𝕊"), size=rng.integers(1, 7))) for _ in range(998)] + [None, ""]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "id int, text string, token string")
+    asked = spark.createDataFrame([(x,) for x in tokens + tokens[:50]], "token string")
+    found = G.token_search(G.build_grams(docs, "text", ["id"]), asked)
+    assert "CartesianProduct" not in plan(found) and "NestedLoop" not in plan(found)
+    want = {(x, k) for x in tokens if x for k, t in enumerate(texts) if t and x in t}
+    rows = [tuple(r) for r in found.collect()]
+    assert set(rows) == want and len(rows) == len(want) > 1000
+    assert G.token_search(G.build_grams(docs.limit(0), "text", ["id"]), asked).count() == 0
+    assert G.token_search(G.build_grams(docs, "text", ["id"]), asked.limit(0)).count() == 0
+
+
+def test_cells_search(spark, monkeypatch, plan):
+    """All cells probed: exact. A few: most of it. Odd vectors are filed apart, hot cells are cut, and only asked cells are joined."""
+    monkeypatch.setattr(V, "CHUNK", 16)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 5)
+    values, df = vectors(spark, 600)
+    odd = spark.createDataFrame([(9000, [1.0]), (9001, None), (9002, [float("nan")] * len(values[0])), (9003, [0.0] * len(values[0]))], "vec_id long, embedding array<float>")
+    queries = df.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    index = V.build_cells(df.union(odd), cells=12)
+    assert index.table.select(F.sum(F.size("ids"))).first()[0] == 602 and index.table.count() > 30
+    exact = V.vector_topk(df.union(odd), queries, 6)
+    rows = lambda d: sorted((r.query_id, r.vec_id) for r in d.collect())
+    assert rows(V.search_cells(index, queries, 6, probes=12)) == rows(exact)
+    some = V.search_cells(index, queries, 6, probes=5)
+    assert "CartesianProduct" not in plan(some) and "NestedLoop" not in plan(some)
+    share = V.recall(some, exact).first()
+    assert share.queries == 30 and share.hit >= 0.6 * share.wanted
+    none = V.build_cells(df.limit(0))
+    assert V.search_cells(none, queries, 3, probes=2).count() == 0 and V.search_cells(index, queries.limit(0), 3, probes=2).count() == 0
+
+
 def test_vector_topk_ties_and_short_sides(spark):
     df = spark.createDataFrame([(i, [1.0, 0.0]) for i in (4, 2, 9)], "vec_id long, embedding array<float>").repartition(3)
     query = spark.createDataFrame([(1, [2.0, 0.0])], "query_id long, query array<float>")
-    assert sorted(r.vec_id for r in S.vector_topk(df, query, 2).collect()) == [2, 4]
-    assert S.vector_topk(df, query, 10).count() == 3
-    assert S.vector_topk(df, query.limit(0), 2).count() == 0
+    assert sorted(r.vec_id for r in V.vector_topk(df, query, 2).collect()) == [2, 4]
+    assert V.vector_topk(df, query, 10).count() == 3
+    assert V.vector_topk(df, query.limit(0), 2).count() == 0
     named = df.withColumns({"namespace": F.lit("schema"), "title": F.concat(F.lit("t"), F.col("vec_id").cast("string"))})
-    found = S.with_metadata(S.vector_topk(named, query, 2, where=F.col("namespace") == "schema"), named, ["title"])
+    found = V.with_metadata(V.vector_topk(named, query, 2, where=F.col("namespace") == "schema"), named, ["title"])
     assert sorted(r.title for r in found.collect()) == ["t2", "t4"]
-    assert S.vector_topk(named, query, 2, where=F.col("namespace") == "other").count() == 0
+    assert V.vector_topk(named, query, 2, where=F.col("namespace") == "other").count() == 0
 
 
 def test_approximate_search_recalls_most(spark):
@@ -170,7 +216,7 @@ def test_vectors_that_are_no_numbers_match_nothing(spark):
     rows = [(1, [1.0, 0.0]), (2, [-1.0, 0.1]), (3, [nan, 1.0]), (4, None), (5, [inf, 0.0]), (6, [None, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [nan, 0.0])], "query_id bigint, query array<float>")
-    found = S.vector_topk(df, queries, 5).orderBy(F.desc("score")).collect()
+    found = V.vector_topk(df, queries, 5).orderBy(F.desc("score")).collect()
     assert [(r.query_id, r.vec_id) for r in found] == [(1, 1), (1, 2)]
 
 

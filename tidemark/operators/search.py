@@ -1,18 +1,14 @@
-"""Keyword and vector search, and relations between table schemas."""
+"""Keyword search, neighbours of one vector, and relations between table schemas."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.windows import latest_per_key, qualify
-
-QUERY_BLOCK = 1024  # query vectors sent to the tasks at a time
+from tidemark.operators.windows import latest_per_key
 
 
 def query_tokens(text: str) -> list[str]:
@@ -53,98 +49,6 @@ def catalog_text() -> Column:
     )
 
 
-def _unit(rows: np.ndarray) -> np.ndarray:
-    length = np.linalg.norm(rows, axis=1, keepdims=True)
-    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
-
-
-def _finite(vector: str) -> Column:
-    """Whether a vector is there and all its elements are finite numbers."""
-    usual = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    return F.coalesce(F.forall(F.col(vector), usual), F.lit(False))
-
-
-def _block_search(names: list[int], unit_queries: np.ndarray, k: int):
-    """Task function: best ``k`` ids per query, folded over Arrow batches.
-
-    Self-contained, so it travels to the workers by value.
-    """
-    width = unit_queries.shape[1]
-
-    def unit(rows: np.ndarray) -> np.ndarray:
-        length = np.linalg.norm(rows, axis=1, keepdims=True)
-        return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_ids = np.empty((len(names), 0), dtype=np.int64)
-        kept_scores = np.empty((len(names), 0))
-        for batch in batches:
-            vectors = batch.column(1)
-            fits = np.asarray(vectors.is_valid()) & (np.diff(vectors.offsets.to_numpy()) == width)
-            if not fits.any():
-                continue
-            flat = np.asarray(vectors.filter(pa.array(fits)).flatten(), dtype=np.float64)
-            scores = np.nan_to_num(unit_queries @ unit(flat.reshape(-1, width)).T, nan=-2.0)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[fits]
-            if kept_scores.shape[1] == k:  # only columns that can still enter some top k
-                rising = (scores >= kept_scores[:, -1:]).any(axis=0)
-                scores, ids = scores[:, rising], ids[rising]
-            kept_scores = np.hstack([kept_scores, scores])
-            kept_ids = np.hstack([kept_ids, np.broadcast_to(ids, scores.shape)])
-            best = np.lexsort((kept_ids, -kept_scores), axis=1)[:, :k]
-            kept_scores = np.take_along_axis(kept_scores, best, axis=1)
-            kept_ids = np.take_along_axis(kept_ids, best, axis=1)
-        if kept_ids.size:
-            owners = np.repeat(np.asarray(names, dtype=np.int64), kept_ids.shape[1])
-            columns = [pa.array(owners), pa.array(kept_ids.ravel()), pa.array(kept_scores.ravel())]
-            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
-
-    return search
-
-
-def vector_topk(
-    vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
-    vector_col: str = "embedding", query_id: str = "query_id", query_col: str = "query",
-    where: Column | None = None,
-) -> DataFrame:
-    """Exact cosine top-k for every query vector.
-
-    Query vectors travel to the tasks in blocks of at most ``QUERY_BLOCK``; more
-    queries only mean more blocks. A task multiplies Arrow batches by the block
-    and keeps k rows per query, so the shuffle carries k rows per query and
-    task instead of one row per pair. Vectors of another length, or
-    with a NULL, NaN or infinite element on either side, are no match.
-    ``where`` restricts the vectors, for instance to a namespace.
-    """
-    queries = queries.filter(_finite(query_col))
-    total = queries.count()
-    searched = (vectors if where is None else vectors.filter(where)).filter(_finite(vector_col))
-    wanted = searched.select(F.col(id_col).cast("bigint"), F.col(vector_col).cast("array<double>"))
-    query_rows = queries.select(
-        F.col(query_id).cast("bigint").alias("q"), F.col(query_col).cast("array<double>").alias("v")
-    )
-    blocks = -(-total // QUERY_BLOCK)
-    out = vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score double")
-    for block in range(blocks):
-        part = query_rows
-        if blocks > 1:
-            part = part.filter(F.pmod(F.xxhash64("q"), F.lit(blocks)) == block)
-        rows = part.collect()
-        if not rows:
-            continue
-        names = [r.q for r in rows]
-        unit = _unit(np.array([r.v for r in rows], dtype=np.float64))
-        found = wanted.mapInArrow(_block_search(names, unit, k), "query_id bigint, vec_id bigint, score double")
-        out = out.unionByName(found)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return qualify(out, rank, k)
-
-
-def with_metadata(found: DataFrame, vectors: DataFrame, columns: Sequence[str], id_col: str = "vec_id") -> DataFrame:
-    """Matches with stored columns of their vectors."""
-    return found.join(vectors.select(F.col(id_col).alias("vec_id"), *columns), "vec_id")
-
-
 def vector_topk_approximate(
     vectors: DataFrame, query: Sequence[float], k: int, id_col: str = "vec_id",
     vector_col: str = "embedding", bucket_length: float = 0.5, tables: int = 8, seed: int = 7,
@@ -163,7 +67,7 @@ def vector_topk_approximate(
     model = BucketedRandomProjectionLSH(
         inputCol="unit", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
     ).fit(unit)
-    key = _unit(np.asarray([query], dtype=np.float64))[0]
+    key = np.asarray(query, dtype=np.float64) / (np.linalg.norm(query) or 1.0)
     near = model.approxNearestNeighbors(unit, Vectors.dense(key), k, distCol="distance")
     return near.select(id_col, (1.0 - F.col("distance") * F.col("distance") / 2.0).alias("score"))
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans.views import picked as picked_text
+from tidemark.operators import grams as G
 from tidemark.operators import history as H
 from tidemark.operators import metrics as M
 from tidemark.operators import search as S
+from tidemark.operators import vectors as V
 from tidemark.plans.registry import query
 from tidemark.plans.views import ntz, prop_k
 
@@ -43,7 +45,55 @@ def vector_topk(t):
     vectors = t("embeddings")
     mean = F.array(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(WIDTH)])
     queries = vectors.groupBy(F.col("label").alias("query_id")).agg(mean.alias("query"))
-    return S.vector_topk(vectors, queries, 5).withColumn("score", F.round("score", 6))
+    return V.vector_topk(vectors, queries, 5).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "vector_topk_table",
+    """
+    WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+    SELECT q.vec_id AS query_id, e.vec_id, ROUND(list_cosine_similarity(e.v, q.v), 6) AS score FROM e, e AS q
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(e.v, q.v) DESC, e.vec_id) <= 10
+    """,
+)
+def vector_topk_table(t):
+    """Each vector's ten nearest, exactly: every vector is a query."""
+    vectors = t("embeddings")
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return V.vector_topk(vectors, queries, 10).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "vector_cells_recall",
+    "SELECT COUNT(*) AS queries, CAST(SUM(LEAST(10, n)) AS BIGINT) AS wanted, TRUE AS nine_tenths_found FROM (SELECT COUNT(*) OVER () AS n FROM embeddings)",
+)
+def vector_cells_recall(t):
+    """The inverted file against the exact search, every vector a query.
+
+    These vectors have little structure, so three quarters of the cells are probed.
+    """
+    vectors = t("embeddings")
+    queries = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    index = V.build_cells(vectors)
+    found = V.search_cells(index, queries, 10, probes=-(-3 * len(index.centres) // 4))
+    share = V.recall(found, V.vector_topk(vectors, queries, 10))
+    return share.select("queries", "wanted", (F.col("hit") * 10 >= F.col("wanted") * 9).alias("nine_tenths_found"))
+
+
+@query(
+    "token_table_search",
+    r"""
+    WITH k AS (SELECT DISTINCT UNNEST(string_split_regex(LOWER(text), '[ \n]+')) AS token FROM benchmark),
+    d AS (SELECT doc_id, LOWER(text || ' ' || lang || ' ' || source) AS t FROM documents)
+    SELECT token, COUNT(*) AS n_docs, MIN(doc_id) AS first_doc FROM k JOIN d ON contains(t, token) WHERE token <> '' GROUP BY token
+    """,
+)
+def token_table_search(t):
+    """Every word of the benchmark as a token, anywhere in a document's text, language or source."""
+    tokens = t("benchmark").select(F.explode(F.split(F.lower("text"), "[ \n]+")).alias("token"))
+    docs = t("documents").select("doc_id", S.searchable(F.col("text"), F.col("lang"), F.col("source")).alias("searched"))
+    found = G.token_search(G.build_grams(docs, "searched", ["doc_id"]), tokens)
+    return found.groupBy("token").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
 REVENUE = M.Metric(
