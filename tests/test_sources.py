@@ -158,3 +158,22 @@ def test_puts_replace_by_key_and_replay(spark, tmp_path):
 def test_unknown_environment_is_refused():
     with pytest.raises(ValueError):
         spark_session("TEST", "x")
+
+
+def test_overwrite_touches_only_its_partitions(spark, tmp_path):
+    """Files of other partitions keep name and time; a NULL partition and an empty batch are fine."""
+    path = str(tmp_path / "months")
+    frame = lambda data: spark.createDataFrame(data, "month string, n int")
+    files = lambda: {(r.month, r.file, r.modified) for r in sinks.partition_files(spark, path, "month").collect()}
+    sinks.overwrite_partitions(frame([("2024-01", 1), ("2024-02", 2), (None, 3)]), path, ["month"])
+    before = files()
+    for _ in range(2):
+        sinks.overwrite_partitions(frame([("2024-02", 20), ("2024-03", 30)]), path, ["month"])
+    after = files()
+    kept = {f for f in before if f[0] != "2024-02"}
+    assert kept < after and {f for f in after - kept if f[0] not in ("2024-02", "2024-03")} == set()
+    assert not {f for f in before if f[0] == "2024-02"} & after
+    read = lambda: sorted(((r.month or "", r.n) for r in spark.read.schema("n int, month string").parquet(path).collect()))
+    assert read() == [("", 3), ("2024-01", 1), ("2024-02", 20), ("2024-03", 30)]
+    sinks.overwrite_partitions(frame([]), path, ["month"])
+    assert files() == after

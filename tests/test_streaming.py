@@ -111,3 +111,22 @@ def test_refresh_runs_once_per_trigger(spark, folder):
     ticks = spark.readStream.text(str(folder / "in"))
     done(jobs.periodic_refresh(ticks, lambda s: calls.append(s.range(1).count()), str(folder / "cp"), jobs.AVAILABLE))
     assert calls == [1]
+
+
+def test_observed_counters_are_written_per_batch(spark, folder):
+    """Counters come from the batches themselves; a failed write of them is raised."""
+    now, out = ntz("2024-06-01 00:00:00"), str(folder / "out")
+    start = lambda: jobs.observed_order_stream(spark, str(folder / "in"), out, str(folder / "cp"), now)
+    run = lambda: jobs.counted_run(spark, start, jobs.ORDER_COUNTERS, str(folder / "counters"))
+    lines(folder / "in" / "a.json", [{"body": b} for b in ('{"order_id": "1", "amount": 5, "order_date": "2024-01-01"}', "{bad")])
+    run()
+    lines(folder / "in" / "b.json", [{"body": '{"order_id": "2", "amount": 0, "order_date": "2024-01-01"}'}])
+    run()
+    run()
+    counted = spark.read.json(str(folder / "counters"))
+    assert sorted((r.batch_id, r.messages, r.success_count, r.failure_count) for r in counted.collect()) == [(0, 2, 1, 1), (1, 1, 0, 1)]
+    sink = spark.read.schema("order_id string, status string").json(out)
+    assert sorted((r.order_id or "", r.status) for r in sink.collect()) == [("", "FAILURE"), ("1", "SUCCESS"), ("2", "FAILURE")]
+    lines(folder / "in" / "c.json", [{"body": "{}"}])
+    with pytest.raises(Exception, match="nowhere"):
+        jobs.counted_run(spark, start, jobs.ORDER_COUNTERS, f"nowhere://{folder}/counters")

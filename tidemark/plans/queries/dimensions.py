@@ -15,8 +15,8 @@ from tidemark.plans.views import (
     CLICKSTREAM_SQL, PRODUCTS_SQL, VERSIONS_SQL, WIDE_SALES_SQL, clickstream, landing_orders, ntz, product_changes,
     products, wide_sales,
 )
-from tidemark.sources.scratch import new_folder
-from tidemark.sources.sinks import overwrite_layer, put_batch, read_puts
+from tidemark.sources.scratch import new_folder, written
+from tidemark.sources.sinks import overwrite_layer, partition_files, put_batch, read_puts
 
 ATTRIBUTES = ["product_name", "category", "price"]
 FIRST_LOAD, SECOND_LOAD = "2024-01-02 00:00:00", "2024-06-01 00:00:00"
@@ -185,6 +185,30 @@ def scd2_apply(t):
     return _version_text(_versions(t))
 
 
+@query("scd2_two_rows", f"WITH {VERSIONS_SQL} SELECT {_VERSION_COLUMNS} FROM versions")
+def scd2_two_rows(t):
+    """The type 2 load as one closing and one opening row per change."""
+    first = products(t).withColumn("updated", ntz("2024-01-01 10:00:00"))
+    dim = D.new_dimension(first, "dim_key", "product_id", ATTRIBUTES, "updated", ntz(FIRST_LOAD))
+    return _version_text(D.scd2_two_rows(dim, product_changes(t), "dim_key", "product_id", ATTRIBUTES, "updated", ntz(SECOND_LOAD)))
+
+
+@query(
+    "scd2_late_rows",
+    f"""
+    WITH {PRODUCTS_SQL}
+    SELECT c.product_id, c.product_name, c.category, c.price FROM changes c JOIN products p ON c.product_id = p.product_id
+    WHERE p.product_name <> c.product_name OR p.category <> c.category OR p.price <> c.price
+    """,
+)
+def scd2_late_rows(t):
+    """Changes of the day their version opened: a strict load leaves them out, and they are listed here."""
+    first = products(t).withColumn("updated", ntz("2024-01-01 10:00:00"))
+    dim = D.new_dimension(first, "dim_key", "product_id", ATTRIBUTES, "updated", ntz(FIRST_LOAD))
+    same_day = product_changes(t).withColumn("updated", ntz("2024-01-01 23:00:00"))
+    return D.late_rows(dim, same_day, "dim_key", "product_id", ATTRIBUTES, "updated").select("product_id", *ATTRIBUTES)
+
+
 @query(
     "scd6",
     f"""
@@ -255,6 +279,32 @@ def bronze_to_monthly(t):
     return overwrite_layer(warehouse.monthly_sales(bronze), f"{path}/monthly")
 
 
+@query(
+    "monthly_partitions",
+    """
+    SELECT product_id, region, month, CASE WHEN month < '1996-01' THEN 2 * n ELSE n END AS total_quantity, month >= '1996-01' AS rewritten
+    FROM (SELECT CAST(l_partkey AS VARCHAR) AS product_id, r_name AS region, strftime(o_orderdate, '%Y-%m') AS month,
+                 CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS n
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+          JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+          GROUP BY ALL)
+    """,
+)
+def monthly_partitions(t):
+    """All months loaded with doubled quantities, then those from 1996 on again as they are; files of the others stay."""
+    path = new_folder(t.spark, "months")
+    bronze, monthly = f"{path}/bronze", f"{path}/monthly"
+    landing = landing_orders(t)
+    warehouse.load_months(landing.withColumn("quantity", F.col("quantity") * 2), ntz(FIRST_LOAD), bronze, monthly)
+    before = written(partition_files(t.spark, monthly, "month"), "files")
+    warehouse.load_months(landing.filter(F.col("order_date") >= "1996-01-01"), ntz(SECOND_LOAD), bronze, monthly)
+    after = partition_files(t.spark, monthly, "month")
+    kept = after.join(before, ["month", "file", "modified"], "left_semi").select(F.col("month").alias("_month")).distinct()
+    rows = t.spark.read.schema("product_id string, region string, total_sales double, total_quantity bigint, month string").parquet(monthly)
+    marked = rows.join(kept, F.col("month") == F.col("_month"), "left")
+    return marked.select("product_id", "region", "month", "total_quantity", F.col("_month").isNull().alias("rewritten"))
+
+
 @query(
     "medallion_gold",
     f"""

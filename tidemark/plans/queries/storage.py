@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import dimensions as D
 from tidemark.operators import metrics as M
+from tidemark.operators.quality import result_issues
+from tidemark.operators.sets import union_sources
 from tidemark.operators.windows import latest_per_key
 from tidemark.plans.registry import query
 from tidemark.plans.views import SUBSCRIBERS_SQL, ntz, subscribers
 from tidemark.sources import scans, sinks
-from tidemark.sources.scratch import new_folder
+from tidemark.sources.scratch import new_folder, written
 from tidemark.streaming import jobs
 from tidemark.streaming.sources import record_stream
 
@@ -211,3 +215,118 @@ def metric_store(t):
     )
     store = t.spark.createDataFrame([], "name string, expression string, last_updated string")
     return M.upsert_metrics(store, changes, F.lit("2024-06-01"), [F.desc("seq")]).select("name", "expression")
+
+
+@query(
+    "split_stream",
+    """
+    SELECT status, COUNT(*) AS sink_rows, COUNT(*) AS counted FROM (
+      SELECT CASE WHEN o_totalprice > 0 AND o_orderdate <= TIMESTAMP '1997-06-01' THEN 'SUCCESS' ELSE 'FAILURE' END AS status FROM orders)
+    GROUP BY status
+    """,
+)
+def split_stream(t):
+    """Order messages in batches to one sink folder per status; the counters are what the batches observed."""
+    path = new_folder(t.spark, "split-stream")
+    body = F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_totalprice").alias("amount"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date")))
+    for part in range(2):  # two deliveries, hence two batches at least
+        t("orders").filter(F.pmod("o_orderkey", F.lit(2)) == part).select(body.alias("body")).write.mode("append").json(f"{path}/in")
+        start = lambda: jobs.observed_order_stream(t.spark, f"{path}/in", f"{path}/out", f"{path}/cp", ntz("1997-06-01 00:00:00"))
+        jobs.counted_run(t.spark, start, jobs.ORDER_COUNTERS, f"{path}/counters")
+    rows = t.spark.read.schema("order_id string, status string").json(f"{path}/out").groupBy("status").agg(F.count("*").alias("sink_rows"))
+    counters = t.spark.read.schema("success_count bigint, failure_count bigint").json(f"{path}/counters")
+    totals = counters.agg(F.sum("success_count").alias("SUCCESS"), F.sum("failure_count").alias("FAILURE"))
+    counted = totals.unpivot([], ["SUCCESS", "FAILURE"], "_status", "counted")
+    return rows.join(counted, F.col("status") == F.col("_status")).select("status", "sink_rows", "counted")
+
+
+@query(
+    "table_loads",
+    """
+    WITH c AS (SELECT COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys FROM customer)
+    SELECT 'copied twice' AS step, 2 * n AS n, 2 * keys AS keys FROM c UNION ALL SELECT 'appended twice', 4 * n, 4 * keys FROM c
+    UNION ALL SELECT 'overwritten twice', n, keys FROM c UNION ALL SELECT 'replaced', n, keys FROM c
+    UNION ALL SELECT 'truncated', 0, NULL
+    """,
+)
+def table_loads(t):
+    """A catalog table through COPY, append, overwrite, replacement with another schema, and truncation."""
+    name = f"loads_{uuid.uuid4().hex}"
+    rows = _customers(t)
+    path = new_folder(t.spark, "copy")
+    sinks.export_csv(rows, path)
+    staged = scans.stage_files(t.spark, path, 3)
+    columns = [("c1", "bigint", "c_custkey"), ("c2", "string", "c_name"), ("c3", "double", "c_acctbal")]
+    steps = []
+
+    def state(step: str, load, *args) -> None:
+        load(*args)
+        now = t.spark.table(name).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+        steps.append(written(now.select(F.lit(step).alias("step"), "n", "keys"), "state"))
+
+    def twice(load, *args) -> None:
+        load(*args)
+        load(*args)
+
+    state("copied twice", twice, sinks.copy_into, staged, columns, name)
+    state("appended twice", twice, sinks.insert_append, rows, name)
+    state("overwritten twice", twice, sinks.insert_overwrite, rows, name)
+    state("replaced", sinks.create_or_replace, rows.select("c_custkey"), name)
+    state("truncated", sinks.truncate, t.spark, name)
+    t.spark.sql(f"DROP TABLE {name}")
+    return union_sources(steps)
+
+
+@query("single_csv", "SELECT c_nationkey, COUNT(*) AS customers FROM customer GROUP BY c_nationkey")
+def single_csv(t):
+    """A small aggregate as one file without a header, read back."""
+    path = new_folder(t.spark, "single")
+    sinks.export_single_csv(t("customer").groupBy("c_nationkey").agg(F.count("*").alias("customers")), path)
+    return t.spark.read.schema("c_nationkey int, customers bigint").csv(path)
+
+
+@query("catalog_roundtrip", _CUSTOMERS_SQL)
+def catalog_roundtrip(t):
+    """Customers as a catalog table, read by name."""
+    name = f"customers_{uuid.uuid4().hex}"
+    sinks.create_or_replace(_customers(t), name)
+    kept = written(scans.catalog_table(t.spark, "default", name), "catalog")
+    t.spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+@query("stage_listing", "SELECT DISTINCT c_nationkey, TRUE AS has_files FROM customer")
+def stage_listing(t):
+    """Files of a stage with a folder per nation, listed without reading them."""
+    path = new_folder(t.spark, "listing")
+    t("customer").select("c_nationkey", "c_name").write.partitionBy("c_nationkey").csv(path)
+    listed = scans.stage_listing(t.spark, path, "*.csv")
+    nation = F.regexp_extract("path", "/c_nationkey=([0-9-]+)/", 1).cast("int")
+    return listed.groupBy(nation.alias("c_nationkey")).agg((F.sum("size") > 0).alias("has_files"))
+
+
+@query("empty_result", """SELECT CAST(NULL AS VARCHAR) AS "column", 'EMPTY_RESULT' AS issue""")
+def empty_result(t):
+    """A filter that no order passes is reported as an empty result."""
+    return result_issues(t("orders").filter("o_totalprice < -1e18"))
+
+
+@query(
+    "metric_feedback",
+    """
+    WITH f AS (SELECT LOWER(p_type) AS name, p_partkey, CASE p_size % 3 WHEN 0 THEN 'correct' WHEN 1 THEN 'incorrect' END AS verdict FROM part),
+    l AS (SELECT name, ARG_MAX(verdict, p_partkey) AS verdict FROM f WHERE verdict IS NOT NULL GROUP BY name)
+    SELECT DISTINCT f.name, COALESCE(l.verdict = 'correct', FALSE) AS approved,
+           CASE l.verdict WHEN 'correct' THEN 'user_feedback' WHEN 'incorrect' THEN 'needs_review' ELSE 'auto_suggested' END AS updated_by
+    FROM f LEFT JOIN l ON f.name = l.name WHERE f.name IS NOT NULL
+    """,
+)
+def metric_feedback(t):
+    """Every part type suggested as a metric, then judged by a feedback entry per part; the last usable one counts."""
+    store = t.spark.createDataFrame([], "name string, expression string, approved boolean, updated_by string, last_updated string")
+    named = t("part").filter("p_type IS NOT NULL")
+    suggested = named.select(F.col("p_type").alias("name"), F.concat(F.lit("MAX("), "p_name", F.lit(")")).alias("expression"), F.col("p_partkey").alias("seq"))
+    store = M.suggest_metrics(store, suggested, F.lit("2024-06-01"), [F.asc("seq")])
+    word = F.when(F.col("p_size") % 3 == 0, "Correct").when(F.col("p_size") % 3 == 1, "INCORRECT").otherwise("maybe")
+    feedback = named.select(F.col("p_partkey").alias("seq"), F.col("p_type").alias("metric"), word.alias("feedback"))
+    return M.apply_feedback(store, feedback).select("name", "approved", "updated_by")

@@ -13,7 +13,7 @@ from tidemark.operators.dimensions import DuplicateKeys, date_dimension, entity,
 from tidemark.operators.ordering import number_rows
 from tidemark.operators.quality import duplicate_keys
 from tidemark.sources.scratch import written
-from tidemark.sources.sinks import create_or_replace, insert_append, insert_overwrite
+from tidemark.sources.sinks import create_or_replace, insert_append, insert_overwrite, overwrite_partitions
 
 
 @dataclass(frozen=True)
@@ -135,3 +135,20 @@ def load_monthly(
     if not spark.catalog.tableExists(monthly_table):
         create_or_replace(monthly.limit(0), monthly_table)
     (insert_append if append else insert_overwrite)(monthly, monthly_table)
+
+
+def load_months(landing: DataFrame, load_time: Column, bronze_path: str, monthly_path: str) -> None:
+    """Load whole months: both layers are partitioned by month, and only the months of ``landing`` are replaced.
+
+    ``landing`` holds all orders of the months it delivers, as a rerun does; orders without a
+    date are the month ``unknown``. The monthly layer is summed from the bronze months
+    just written; Spark prunes the others from the scan.
+    """
+    spark = landing.sparkSession
+    named = lambda df, month: df.withColumn("month", F.coalesce(month, F.lit("unknown")))
+    bronze = named(bronze_orders(landing, load_time), month_key("order_date"))
+    overwrite_partitions(bronze, bronze_path, ["month"])
+    touched = bronze.select(F.col("month").alias("_month")).distinct()
+    stored = spark.read.schema(bronze.schema).parquet(bronze_path)
+    fresh = stored.join(touched, F.col("month") == F.col("_month"), "left_semi")
+    overwrite_partitions(named(monthly_sales(fresh), F.col("month")), monthly_path, ["month"])

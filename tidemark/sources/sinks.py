@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,23 @@ def append_by_date(
     shaped.write.partitionBy(*by).mode("append").format(file_format).save(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Replace exactly the partitions that ``df`` has rows of; the files of all others stay as they are.
+
+    Partitions are staged and moved in at commit, so a failed job leaves the table as it was.
+    Running it twice with the same rows changes nothing. An empty frame replaces nothing.
+    """
+    shaped = df.hint("rebalance", *by)
+    shaped.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def partition_files(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """``by``, ``file`` and ``modified`` of each file of a partitioned table; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    value = F.regexp_extract("path", f"/{by}=([^/]*)/", 1)
+    return files.select(value.alias(by), F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
+
+
 def overwrite_layer(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,11 +7,13 @@ failure replaces what it wrote before.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.functions.device_events import EVENT_SCHEMA, enriched
@@ -24,6 +26,7 @@ from tidemark.streaming.sources import document_stream, message_stream, record_s
 AVAILABLE = {"availableNow": True}
 EVERY_MINUTE = {"processingTime": "1 minute"}
 
+ORDER_COUNTERS = "order_messages"
 ORDER_SCHEMA = "order_id string, amount double, order_date string"
 PERSON_SCHEMA = "id string, name string, age int"
 SUBSCRIBER_SCHEMA = (
@@ -59,9 +62,76 @@ def split_orders(batch: DataFrame, batch_id: int, now: Column, target: str) -> N
 def order_stream(
     spark: SparkSession, source: str, target: str, checkpoint: str, now: Column, trigger=AVAILABLE
 ) -> StreamingQuery:
-    observed = message_stream(spark, source).observe("order_messages", F.count("*").alias("messages"))
     handle = lambda batch, batch_id: split_orders(batch, batch_id, now, target)
-    return _each_batch(observed, handle, checkpoint, trigger)
+    return _each_batch(message_stream(spark, source), handle, checkpoint, trigger)
+
+
+def observed_order_stream(
+    spark: SparkSession, source: str, target: str, checkpoint: str, now: Column, trigger=AVAILABLE
+) -> StreamingQuery:
+    """Order messages to one file sink with a folder per status, counted on the way.
+
+    The sink's commit log makes each row arrive once. The counters are metrics that Spark
+    observes while the rows pass, so nothing is kept or read twice: add a
+    :class:`BatchCounters` for ``ORDER_COUNTERS`` to write them down.
+    """
+    checked = with_status(envelope(message_stream(spark, source).select("body"), ORDER_SCHEMA), now)
+    success, failure = (F.count_if(F.col("status") == status) for status in ("SUCCESS", "FAILURE"))
+    counted = checked.observe(ORDER_COUNTERS, F.count("*").alias("messages"), success.alias("success_count"), failure.alias("failure_count"))
+    return (
+        counted.writeStream.format("json").partitionBy("status").option("checkpointLocation", checkpoint)
+        .trigger(**trigger).start(target)
+    )
+
+
+class BatchCounters(StreamingQueryListener):
+    """Writes what each batch of a query observed under ``name``, one folder per batch id.
+
+    A replayed batch replaces its folder. ``wait`` returns once the query's end has been
+    heard of, when all its batches are written; it raises what a write raised.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, path: str):
+        self.spark, self.name, self.path = spark, name, path
+        self.ended, self.problem = threading.Event(), None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is None:
+            return
+        try:
+            values = {k: int(v) for k, v in row.asDict().items()}
+            schema = ", ".join(f"{k} bigint" for k in values)
+            batch = self.spark.createDataFrame([tuple(values.values())], schema)
+            batch.write.mode("overwrite").json(f"{self.path}/batch_id={event.progress.batchId}")
+        except Exception as problem:  # the listener bus would swallow it; wait() raises it
+            self.problem = problem
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+    def wait(self, seconds: float = 60) -> None:
+        if not self.ended.wait(seconds):
+            raise TimeoutError(f"no end of the query heard within {seconds} s")
+        if self.problem is not None:
+            raise self.problem
+
+
+def counted_run(spark: SparkSession, start: Callable[[], StreamingQuery], name: str, path: str) -> None:
+    """Run a draining query to its end with its observed metrics written to ``path``."""
+    counters = BatchCounters(spark, name, path)
+    spark.streams.addListener(counters)
+    try:
+        start().awaitTermination()
+        counters.wait()
+    finally:
+        spark.streams.removeListener(counters)
 
 
 def normalised_persons(df: DataFrame) -> DataFrame:
