@@ -298,7 +298,7 @@ def test_language_needs_a_letter(spark):
     found = {r[0]: r[1:] for r in language.identify(df, df.filter("doc_id in (2, 3)"), keep=["doc_id"]).select("_row.doc_id", "lang_pred", "score").collect()}
     assert found[1] == ("und", 0.0) and found[4] == ("und", 0.0)
     assert found[2][0] == "en" and found[3][0] == "de"
-    assert language.WORD.findall("wörter²hier x_y") == ["wörter", "hier", "x", "y"]
+    assert language.words_in("Wörter²hier x_y") == ["wörter", "hier", "x", "y"]
 
 
 def test_language_sample_of_repeated_ids(spark):

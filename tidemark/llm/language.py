@@ -26,7 +26,6 @@ no labelled row every text is ``und``; ties go to the language that sorts first.
 from __future__ import annotations
 
 import re
-import sys
 import uuid
 from collections.abc import Iterator
 
@@ -46,9 +45,15 @@ TEMPERATURE = 0.25
 WORD_MEMO, MEMO_BYTES = 400_000, 64 << 20
 WORDS_AT_ONCE = 50_000
 NO_WORD = r"\P{L}+"
-#: Numbers that Python's classes count as word characters and not as digits, such as squares and fractions.
-_NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def words_in(text: str) -> list[str]:
+    """Lower-case runs of letters; squares, fractions and other numbers that ``WORD`` takes for letters end a word."""
+    words = WORD.findall(text.lower())
+    if all(map(str.isalpha, words)):
+        return words
+    return "".join(c if c.isalpha() else " " for w in words for c in (*w, " ")).split()
 
 
 def words_of(text: Column) -> Column:
@@ -120,7 +125,7 @@ class Model(dict):
 
     def __init__(self, langs: list[str], words: dict[str, int], grams: dict[str, int], scores: np.ndarray):
         super().__init__()
-        self.langs, self.words, self.grams, self.scores = langs, words, grams, scores
+        self.langs, self.words, self.grams, self.scores = langs, words, grams, scores.tolist()
         room = max(1000, min(WORD_MEMO, MEMO_BYTES // (8 * (len(langs) + 1))))
         self.at_once = min(WORDS_AT_ONCE, room)
         self.table = np.zeros((len(words) + room, len(langs) + 1))  # the last column: how well known
@@ -143,22 +148,22 @@ class Model(dict):
 
     def backoff(self, word: str) -> tuple:
         """Mean over the longest known n-grams from left to right; a character nobody knows adds nothing."""
-        return tuple(self.backed(word)[0].tolist())
+        return self.backed(word)[0]
 
-    def backed(self, word: str) -> tuple[np.ndarray, float]:
+    def backed(self, word: str) -> tuple[tuple, float]:
         """``backoff`` and the share of the characters that n-grams of ``TELLING`` or more cover."""
-        padded, at, found, grams, told = f"_{word}_", 0, [], self.grams, 0
+        padded, at, found, grams, scores, told = f"_{word}_", 0, [], self.grams, self.scores, 0
         size = len(padded)
         while at < size:
             for order in ORDERS:
                 if at + order <= size and (row := grams.get(padded[at : at + order])) is not None:
-                    found.append(row)
+                    found.append(scores[row])
                     at += order
                     told += order if order >= TELLING else 0
                     break
             else:
                 at += 1
-        means = self.scores[found].sum(axis=0) / len(found) if found else np.zeros(len(self.langs))
+        means = tuple([sum(column) / len(found) for column in zip(*found, strict=True)]) if found else (0.0,) * len(self.langs)
         return means, told / size
 
     def __missing__(self, word: str) -> int:
@@ -169,7 +174,7 @@ class Model(dict):
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and ``known``."""
-        words = WORD.findall((text or "").lower())
+        words = words_in(text or "")
         if not words or not self.langs:
             return "und", 0.0, 0.0
         sums = np.zeros(len(self.langs) + 1)
@@ -185,13 +190,13 @@ class Model(dict):
 
 def _least_known(table: pa.Table) -> pa.Table:
     """Lower fence of ``known`` over the training rows of one language, each half of them against the other."""
-    rows = [w for t in sorted(table.column("text").to_pylist()) if (w := WORD.findall(t.lower()))]
+    rows = [w for t in sorted(table.column("text").to_pylist()) if (w := words_in(t))]
     shares = []
     for own in (0, 1):
         words = {w: 0 for row in rows[1 - own :: 2] for w in row}
         grams = {f"_{w}_"[at : at + order]: 0 for w in words for order in ORDERS if order >= TELLING for at in range(len(w) + 3 - order)}
         model = Model.__new__(Model)
-        model.langs, model.grams, model.scores = [], grams, np.zeros((1, 0))
+        model.langs, model.grams, model.scores = [], grams, [()]
         covered = {w: 1.0 if w in words else model.backed(w)[1] for row in rows[own::2] for w in row}
         shares += [sum(covered[w] for w in row) / len(row) for row in rows[own::2]]
     low, high = np.percentile(shares, (25, 75)) if len(rows) > 1 else (0.0, 0.0)
