@@ -16,7 +16,8 @@ have blocks of their own on half of the pages, short of ``body``.
 
 Not text: whatever is inside menus, headers (but for an article's own), footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, told by
-tag, role, class or id.
+tag, role, or a whole class or id. What only sounds so and holds most of the page
+stays (see ``_Doubts``); reader comments never do, also not as nested articles.
 
 Defined results: null, empty or unfinished markup never fails; a null page has no
 text; a page without a host votes with the others that have none; repeated rows
@@ -25,6 +26,7 @@ vote each; ties go to the path that sorts first.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -44,14 +46,25 @@ BLOCK = frozenset(
 )
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th figcaption summary address".split())
 CELL = frozenset(("td", "th"))
-SKIPPED = frozenset("head nav aside footer form menu dialog button select option label fieldset".split())
+SKIPPED = frozenset("head nav aside footer menu dialog button select option label fieldset".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-SKIPPED_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar sidenav menu nav navbar "
-    "navigation breadcrumb breadcrumbs masthead header footer notice notices cookie cookies consent gdpr popup modal overlay newsletter "
-    "subscribe subscription signup login comment comments commentlist disqus respond reply replies share sharing social related "
-    "recommended widget pagination pager form search hidden".split()
+# Names that sites give to what is no article, and the words they put before and after such a name.
+NAMES = (
+    "ad|ads|adv|advert|adverts|advertisement|advertising|adsense|banner|sponsor|sponsored|promo|promotion|sidebar|sidenav|menu|nav|navbar|"
+    "navigation|breadcrumb|breadcrumbs|masthead|header|footer|notice|notices|cookie|cookies|consent|gdpr|popup|modal|overlay|newsletter|"
+    "subscribe|subscription|signup|login|share|sharing|social|related|recommended|widget|pagination|pager|form|search|hidden"
 )
+COMMENTS = "comment|comments|commentlist|disqus|respond|reply|replies"
+BEFORE = "site|page|main|global|top|bottom|left|right|primary|secondary|post|entry|article|user|reader|js|the"
+AFTER = (
+    "area|bar|block|body|bottom|box|buttons|container|content|count|author|meta|icons|inner|item|items|left|links|list|main|outer|panel|"
+    "articles|posts|stories|right|section|slot|thread|title|top|unit|wrap|wrapper|fixed|sticky"
+)
+#: A container that sounds like no article, but holds more than this share of the page's text, is kept.
+MOST = 2 / 3
+#: Containers nested deeper count as part of the one at this depth.
+DEPTH = 128
+LONGEST_LABEL = 200
 NEARLY_ALL = 0.8
 #: An opening tag closes these, if one is open below the nearest container.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -62,90 +75,140 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-NAME = re.compile(r"[a-z]+")
+OTHER = re.compile(rf"(?:(?:{BEFORE})[-_]+)*(?:{NAMES})(?:[-_]+(?:{NAMES}|{AFTER}))*[-_]*\d*")
+READERS = re.compile(rf"(?:(?:{BEFORE})[-_]+)*(?:{COMMENTS})(?:[-_]+(?:{COMMENTS}|{AFTER}))*[-_]*\d*")
+NO_MARK, SOUNDS_OTHER, BY_READERS = 0, 1, 2
 
 
-def _marks(attributes: str) -> tuple[str, bool]:
-    """Generalised class label of an element, and whether its marks say that it is no article text."""
+def _marks(attributes: str) -> tuple[str, int]:
+    """Generalised class label of an element, and whether a whole class, id or role says that it is no article text."""
     if not attributes or attributes.isspace():
-        return "", False
-    classes, skip = [], False
+        return "", NO_MARK
+    classes, mark = [], NO_MARK
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), (a or b or c).lower()
+        names = value.split()
         if key == "class":
-            classes = sorted({re.sub(r"\d+", "#", x) for x in value.split()})
+            classes = sorted({re.sub(r"\d+", "#", x) for x in names})
         if key in ("class", "id"):
-            skip |= not SKIPPED_NAMES.isdisjoint(NAME.findall(value))
-        elif key == "role":
-            skip |= value in SKIPPED_ROLES
-        elif key == "hidden" or value == "true":
-            skip = True
-    return "".join(f".{x}" for x in classes), skip
+            if any(map(READERS.fullmatch, names)):
+                mark = BY_READERS
+            elif any(map(OTHER.fullmatch, names)):
+                mark = max(mark, SOUNDS_OTHER)
+        elif key == "hidden" or value == "true" or key == "role" and value in SKIPPED_ROLES:
+            mark = max(mark, SOUNDS_OTHER)
+    label = "".join(f".{x}" for x in classes)
+    return (label if len(label) <= LONGEST_LABEL else f".{hashlib.md5(label.encode(errors='replace')).hexdigest()}"), mark
+
+
+class _Doubts:
+    """Containers that sound like no article: whether each is left out, known once the whole page is read.
+
+    Reader comments always are, whatever is in them. Any other stays if it holds over
+    ``MOST`` of the text outside comments, and no article stands beside it; a form
+    that wraps the page also needs an article or a heading in it.
+    """
+
+    def __init__(self) -> None:
+        self.parent, self.readers, self.within, self.form, self.headed = [-1], [False], [False], [False], [False]
+        self.chars, self.article_chars = [0], [0]  # entry 0 is the page itself
+
+    def add(self, parent: int, readers: bool, within: bool, form: bool) -> int:
+        self.parent.append(parent)
+        self.readers.append(readers or self.readers[parent])
+        self.within.append(within)
+        self.form.append(form)
+        self.headed.append(False)
+        self.chars.append(0)
+        self.article_chars.append(0)
+        return len(self.parent) - 1
+
+    def count(self, at: int, chars: int, in_article: bool) -> None:
+        if not self.readers[at]:
+            self.chars[at] += chars
+            self.article_chars[at] += chars if in_article else 0
+
+    def left_out(self) -> list[bool]:
+        held, headed = self.chars.copy(), self.headed.copy()
+        for at in range(len(held) - 1, 0, -1):
+            held[self.parent[at]] += held[at]
+            headed[self.parent[at]] |= headed[at]
+        out, beside = [False], [False]
+        for at in range(1, len(held)):
+            up = self.parent[at]
+            beside.append(beside[up] or self.article_chars[up] > 0)
+            stays = held[at] > MOST * held[0] and (self.within[at] or not beside[at]) and (headed[at] or not self.form[at])
+            out.append(out[up] or self.readers[at] or not stays)
+        return out
 
 
 def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
     """Text blocks in page order: path of the containers around each, its text, and how many of its characters are links."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    tags: list[str] = []  # open elements, and their labels
-    labels: list[str] = []
-    skip_at = soft_at = 0  # depth from which nothing counts, 0 for none; soft: by name only, which an article ends
-    links = link_chars = 0
-    text: list[str] = []
+    raw: list[tuple[tuple[str, ...], list[tuple[str, int, int]]]] = []
+    tags: list[str] = []  # open elements; for each its path and the doubt it is in
+    paths: list[tuple[str, ...]] = [()]
+    doubt: list[int] = [0]
+    opened: dict[str, list[int]] = {}  # depths of the open elements of each tag
+    doubts = _Doubts()
+    skip_at = 0  # depth from which nothing counts, 0 for none
+    pieces: list[tuple[str, int, int]] = []  # text, doubt, characters in links
+
+    def depth_of(tag: str) -> int:
+        at = opened.get(tag)
+        return at[-1] if at else -1
 
     def flush() -> None:
-        nonlocal link_chars
-        if text:
-            words = " ".join("".join(text).split())
-            if words:
-                path = tuple(label for tag, label in zip(tags, labels, strict=True) if tag in BLOCK)
-                out.append((path[:-1] if path and path[-1].split(".")[0] in LEAF else path, words, link_chars))
-            text.clear()
-        link_chars = 0
+        nonlocal pieces
+        if pieces:
+            path = paths[-1]
+            raw.append((path[:-1] if path and path[-1].split(".")[0] in LEAF else path, pieces))
+            pieces = []
 
     def close(depth: int) -> None:
-        nonlocal skip_at, soft_at, links
-        if any(tag in BLOCK and tag not in CELL for tag in tags[depth:]):
+        nonlocal skip_at
+        gone = tags[depth:]
+        if any(tag in BLOCK and tag not in CELL for tag in gone):
             flush()
-        elif any(tag in CELL for tag in tags[depth:]) and text:
-            text.append(" ")
-        links -= tags[depth:].count("a")
-        del tags[depth:], labels[depth:]
+        elif pieces and any(tag in CELL for tag in gone):
+            pieces.append((" ", doubt[-1], 0))
+        for tag in gone:
+            opened[tag].pop()
+        del tags[depth:], paths[depth + 1 :], doubt[depth + 1 :]
         if skip_at > depth:
             skip_at = 0
-        if soft_at > depth:
-            soft_at = 0
 
     for match in TOKEN.finditer(page or ""):
         words = match[8]
         if words is not None:
-            if not skip_at and not soft_at:
+            if not skip_at:
                 plain = html.unescape(words) if "&" in words else words
-                text.append(plain)
-                if links:
-                    link_chars += len(plain.strip())
+                n = len(plain.strip())
+                linked = n if opened.get("a") else 0
+                pieces.append((plain, doubt[-1], linked))
+                doubts.count(doubt[-1], max(0, n - 2 * linked), bool(opened.get("article") or opened.get("main")))
             continue
         name = match[3] or match[6]
         if name is None:
-            if match[1] and text:
-                text.append(" ")
+            if match[1] and pieces:
+                pieces.append((" ", doubt[-1], 0))
             continue
         tag, ending = name.lower(), match[2] or match[5]
         if ending:
-            if tag in tags:
-                close(len(tags) - 1 - tags[::-1].index(tag))
+            if depth_of(tag) >= 0:
+                close(depth_of(tag))
             continue
         if tag == "br":
-            text.append(" ")
+            pieces.append((" ", doubt[-1], 0))
             continue
         if tag in VOID:
             if tag == "hr":
                 flush()
             continue
         if tag in BLOCK:
-            if "p" in tags and tag not in CELL:
-                close(len(tags) - 1 - tags[::-1].index("p"))
-            for depth in range(len(tags) - 1, -1, -1):
-                if tags[depth] in CLOSES.get(tag, ()):
+            if tag not in CELL and depth_of("p") >= 0:
+                close(depth_of("p"))
+            for depth in range(len(tags) - 1, -1, -1) if tag in CLOSES else ():
+                if tags[depth] in CLOSES[tag]:
                     close(depth)
                     break
                 if tags[depth] in ("ul", "ol", "dl", "table", "tbody", "div", "article", "section", "main"):
@@ -153,19 +216,32 @@ def blocks_of(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
             if tag not in CELL:
                 flush()
         attributes = match[4] if match[3] else match[7]
-        label, skip = _marks(attributes)
-        if tag in ("article", "main"):
-            soft_at, skip = 0, False
-        if not attributes.rstrip().endswith("/") or tag in BLOCK:
-            tags.append(tag)
-            labels.append(tag + label)
-            links += tag == "a"
-            own_header = tag == "header" and ("article" in tags or "main" in tags)
-            if not skip_at and (tag in SKIPPED or tag == "header" and not own_header):
-                skip_at = len(tags)
-            elif not soft_at and skip and tag not in ("html", "body") and not own_header:
-                soft_at = len(tags)
+        if attributes.rstrip().endswith("/") and tag not in BLOCK:
+            continue
+        label, mark = _marks(attributes)
+        in_article = bool(opened.get("article") or opened.get("main"))
+        if tag in ("article", "main", "h1"):
+            doubts.headed[doubt[-1]] = True
+        own_header = tag == "header" and in_article
+        if tag in ("html", "body") or mark == SOUNDS_OTHER and (own_header or tag in ("article", "main")):
+            mark = NO_MARK
+        elif tag == "form":
+            mark = max(mark, SOUNDS_OTHER)
+        opened.setdefault(tag, []).append(len(tags))
+        tags.append(tag)
+        paths.append((*paths[-1], tag + label) if tag in BLOCK and len(paths[-1]) < DEPTH else paths[-1])
+        doubt.append(doubts.add(doubt[-1], mark == BY_READERS, in_article, tag == "form") if mark and not skip_at else doubt[-1])
+        if not skip_at and (tag in SKIPPED or tag == "header" and not own_header):
+            skip_at = len(tags)
     flush()
+
+    left_out = doubts.left_out()
+    out = []
+    for path, parts in raw:
+        kept = [part for part in parts if not left_out[part[1]]]
+        words = " ".join("".join(part[0] for part in kept).split())
+        if words:
+            out.append((path, words, sum(part[2] for part in kept)))
     return out
 
 
@@ -243,7 +319,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path, (share, has_own) in shares_of(blocks).items():
                 hosts.append(host)
                 paths.append(path)
-                votes.append(int(1000 * scores.get(path, 0.0) / total))
+                votes.append(int(1000 * scores[path] / total) if path in scores else 0)
                 held.append(round(1000 * share))
                 own.append(1000 * has_own)
         yield pa.RecordBatch.from_arrays(
