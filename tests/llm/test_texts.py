@@ -172,8 +172,25 @@ def test_components(spark):
 
 
 def test_one_per_group(spark):
-    df = edge_docs(spark, [(3, "same text here", "en", "a"), (1, "same text here", "en", "a"), (1, "same text here", "en", "a"), (None, "x", "en", "a")])
-    assert sorted(str(r.doc_id) for r in simhash.one_per_group(df).collect()) == ["1", "1", "None"]
+    same, other = "same text here", "another text that shares no word with it at all"
+    rows = [(3, same, "en", "a"), (1, same, "en", "a"), (1, same, "en", "b"), (None, "x", "en", "a"), (None, "x", "en", "a"), (None, same, "de", "c")]
+    rows += [(2, same, "en", "a"), (2, other, "en", "a")]  # one id for two texts: only that in the group goes
+    kept = simhash.one_per_group(edge_docs(spark, rows))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", same), ("2", other), ("None", "x")]
+    assert kept.columns == edge_docs(spark).columns
+
+
+def test_one_per_group_against_all_pairs(spark):
+    docs = edge_docs(spark)
+    rows = docs.collect()
+    order = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "")
+    groups: list[list] = []
+    for row in rows:
+        near = [g for g in groups if any((simhash.fingerprint_of(row.text) ^ simhash.fingerprint_of(o.text)).bit_count() <= 3 for o in g)]
+        groups = [g for g in groups if g not in near] + [[row, *(o for g in near for o in g)]]
+    expected = sorted(order(min(g, key=order)) for g in groups)
+    assert sorted(order(r) for r in simhash.one_per_group(docs).collect()) == expected
+    assert simhash.one_per_group(docs.limit(0)).collect() == []
 
 
 def test_language_held_out_accuracy(docs):

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -187,10 +187,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is the least of their group; a repeated id stays as often as it is there.
+    """One row of ``docs`` for each group of near duplicates: the one with the least id.
 
-    Rows without an id cannot be told apart and stay.
+    Rows without an id come after all others. Of rows with one id the text with the
+    least hash stays, of equal rows one; only those are numbered. The texts are not
+    shuffled unless the list of what goes is too large to broadcast.
     """
-    classes = near_duplicates(docs, doc_id, text)
-    drop = classes.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_drop")).distinct()
-    return docs.join(drop, docs[doc_id] == drop["_drop"], "left_anti")
+    key = [F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash")]
+    named = docs.select(*key, F.col(text).alias("text"))
+    prints = written(with_fingerprint(named, "text", ["doc_id", "text_hash"]).select("_row.*", "fingerprint"), "fingerprints")
+    found = written(components(links(prints)).withColumnsRenamed({"node": "_node", "component": "_root"}), "components")
+    units = prints.groupBy("fingerprint", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    rooted = units.join(found, F.col("fingerprint") == F.col("_node"), "left").select(
+        F.coalesce("_root", "fingerprint").alias("root"), place.alias("place"), "copies"
+    )
+    first = rooted.groupBy("root").agg(F.min("place").alias("first")).withColumnRenamed("root", "_of")
+    judged = rooted.join(first, F.col("root") == F.col("_of")).withColumn("goes", F.col("place") != F.col("first"))
+    odd = judged.filter(F.col("goes") | (F.col("copies") > 1)).select(
+        F.col("place.doc_id").alias("_id"), F.col("place.text_hash").alias("_hash"), "goes"
+    )
+    odd = written(odd, "dropped")
+
+    packed = docs.select(F.struct(*docs.columns).alias("whole"), *key)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    single = packed.join(odd, same, "left_anti").select("whole")
+    repeated = packed.join(odd.filter(~F.col("goes")), same, "left_semi")
+    numbered = repeated.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("text_hash")))
+    return single.unionByName(numbered.filter("_n = 1").select("whole")).select("whole.*")
