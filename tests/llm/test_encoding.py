@@ -127,6 +127,16 @@ def test_token_store_reads_one_document(spark, docs):
     assert ids.tolist() == [*Tokenizer.from_file(BYTES).encode(row.text, add_special_tokens=False).ids, 0]
 
 
+@pytest.mark.parametrize("n, words", [(40, 6000), (3, 6000), (1, 5)])
+def test_token_store_always_shares_a_dictionary(spark, n, words):
+    docs = edge_docs(spark, [(k, " ".join(f"w{(k * 7 + j * j) % 911}" for j in range(words)), "en", "a") for k in range(n)])
+    folder = token_store.new_folder(spark, "test-tokens")
+    token_store.write(docs, folder, BYTES)
+    dictionary = bytes(spark.read.parquet(f"{folder}/dictionary").first().dictionary)
+    assert 0 < len(dictionary) <= token_store.DICTIONARY_BYTES
+    check_store(docs)
+
+
 def test_token_store_empty(spark):
     assert token_store.store_and_read(empty_docs(spark), BYTES).count() == 0
 

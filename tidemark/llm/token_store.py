@@ -102,20 +102,22 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, doc_id: str, text: str, rows: int = 400, chars: int = 20_000) -> bytes:
-    """Dictionary from the serialized ids of at most ``rows`` documents of at most ``chars`` characters each.
+    """Dictionary from the serialized ids of at most ``rows`` documents, of longer ones those of their first ``chars`` characters.
 
     Those with the least hash of their id are taken, so reruns train the same one.
     Hashes are ranked alone, so no task sends texts to the driver but of the sample.
-    Too few documents give an empty dictionary, and frames without one.
+    Too few documents to train on are the dictionary themselves, as plain content;
+    without any text there is none, and frames go without.
     """
     hashes = docs.select(F.xxhash64(doc_id).alias("_at")).orderBy("_at").limit(rows).collect()
     last = max((row._at for row in hashes), default=0)
-    sample = docs.filter(F.xxhash64(doc_id) <= last).select(F.col(text).alias("_text")).filter(F.length("_text") <= chars)
+    sample = docs.filter(F.xxhash64(doc_id) <= last).select(F.left(text, F.lit(chars)).alias("_text")).filter("_text <> ''")
     texts = sorted(row._text for row in sample.limit(rows).collect())
+    ids = list(encoder(tokenizer).encode_all(texts))
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, list(encoder(tokenizer).encode_all(texts))).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, ids).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(ids)[-DICTIONARY_BYTES:]
 
 
 def _zstd(dictionary: bytes) -> dict:
