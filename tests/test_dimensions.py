@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import dimensions as D
-from tidemark.operators.joins import as_of
+from tidemark.operators.joins import as_of, as_of_carried
 from tidemark.plans import medallion, outlet_sales, warehouse
 from tidemark.plans.views import ntz
 
@@ -188,6 +188,48 @@ def test_as_of_takes_the_version_of_the_day(spark):
     assert [r.price and float(r.price) for r in joined] == [None, 1200.0, 1250.0]
 
 
+def spans(spark, versions):
+    return spark.createDataFrame(versions, "k string, price int, a int, b int").selectExpr(
+        "k", "price", "date_add(DATE'2024-01-01', a) effective_date", "date_add(DATE'2024-01-01', b) end_date"
+    )
+
+
+def dated_facts(spark, n):
+    return spark.range(n).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('k', id % 5) END k",
+        "CASE WHEN id % 11 <> 0 THEN date_add(DATE'2023-12-20', cast(id * 7919 % 500 AS int)) END sold",
+    )
+
+
+@pytest.mark.parametrize("most", [5, 1_000_000])
+def test_carried_versions_are_those_of_the_range_join(spark, most):
+    chain = [("hot", i, 2 * i, 2 * i + 1) for i in range(150)] + [("k1", -1, 3, 90), ("k1", -2, 91, 90), ("k1", -3, 120, 400), ("k2", -4, 0, 9000)]
+    facts, versions = dated_facts(spark, 900), spans(spark, [*chain, (None, 5, 0, 400), ("k4", 6, None, 400), ("k4", 7, 3, None)])
+    expected = as_of(facts, versions, "k", "sold").select("id", "sold", "price", "end_date").collect()
+    carried = as_of_carried(facts, versions, "k", "sold", ["id"], most=most)
+    assert carried.columns == [*facts.columns, "price", "effective_date", "end_date"]
+    assert sorted(map(repr, carried.select("id", "sold", "price", "end_date").collect())) == sorted(map(repr, expected))
+
+
+def test_carried_versions_overlap_and_tie(spark):
+    versions = spans(spark, [("k1", 1, 0, 9000), ("k1", 2, 10, 20), ("k1", 3, 10, 30)])
+    facts = spark.createDataFrame([("k1", 5), ("k1", 10), ("k1", 40)], "k string, d int").selectExpr("k", "d", "date_add(DATE'2024-01-01', d) sold")
+    carried = as_of_carried(facts, versions, "k", "sold", ["d"])
+    assert {r.d: r.price for r in carried.collect()} == {5: 1, 10: 3, 40: None}
+    assert as_of_carried(facts.limit(0), versions, "k", "sold", ["d"]).count() == 0
+    assert [r.price for r in as_of_carried(facts, versions.limit(0), "k", "sold", ["d"]).collect()] == [None] * 3
+
+
+def test_carried_versions_of_a_long_chain(spark):
+    """A key with 20,000 versions and all facts: no join of facts with versions on the key."""
+    versions = spark.range(20_000).selectExpr(
+        "'hot' k", "cast(id AS int) price", "timestamp_seconds(id * 3600) effective_date", "timestamp_seconds(id * 3600 + 3599) end_date"
+    )
+    facts = spark.range(60_000).selectExpr("id", "'hot' k", "timestamp_seconds(id * 1200 + 7) sold")
+    carried = as_of_carried(facts, versions, "k", "sold", ["id"], most=1000)
+    assert carried.filter("price IS NULL OR price <> id div 3").count() == 0 and carried.count() == 60_000
+
+
 WIDE = """order_id string, order_date date, customer_id string, customer_name string, customer_email string,
 customer_address string, product_id string, product_name string, product_category string, product_price double,
 quantity int, total_price double"""

@@ -62,12 +62,38 @@ def test_numbers_of_an_empty_frame(spark):
 def test_median_with_a_hot_value(spark, n):
     df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") * 1.0).alias("v"))
     expected = statistics.median(r.v for r in df.collect())
-    assert exact_median(df, "v", ["id"]).first()[0] == expected
+    assert exact_median(df, "v").first()[0] == expected
+
+
+INF = float("inf")
+
+
+@pytest.mark.parametrize("values", [
+    [], [3.0], [-1.0, 1.0], [0.0, -0.0, 5e-324, -5e-324], [1e308, -1e308, 1e-300, 2e-300], [-INF, -INF, 2.0, INF],
+    [1.0 + i * 2.0**-52 for i in range(1001)], [1.0 + i * 2.0**-50 for i in range(6)] + [9e18] * 3, [-7.5] * 50 + [2.0] * 50,
+])
+def test_median_by_counting(spark, values):
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    expected = statistics.median(values) if values else None
+    assert exact_median(df, "v").first()[0] == expected
+
+
+def test_median_of_other_types(spark):
+    df = spark.range(2**62, 2**62 + 5).select("id", (F.col("id") % 7).cast("decimal(20,3)").alias("d"), F.lit(float("nan")).alias("x"))
+    middle = statistics.median(r.d for r in df.collect())
+    assert exact_median(df, "id").first()[0] == float(2**62 + 2)
+    assert exact_median(df, "d").first()[0] == middle
+    assert str(exact_median(df, "x").first()[0]) == "nan"
+
+
+def test_median_needs_no_sort_and_no_copy(spark, plan):
+    text = plan(W.magnitude_outliers(spark.range(1000).selectExpr("id", "id * 1.5D AS v"), "v"))
+    assert "rangepartitioning" not in text.lower() and "Sort" not in text and "parquet" not in text
 
 
 def test_magnitude_outliers(spark):
     df = spark.createDataFrame([(i, 10.0) for i in range(9)] + [(9, 100.0), (10, 1.0), (11, 99.0)], "id int, v double")
-    far = W.magnitude_outliers(df, "v", ["id"]).select("id", "direction").collect()
+    far = W.magnitude_outliers(df, "v").select("id", "direction").collect()
     assert sorted(tuple(r) for r in far) == [(9, "above"), (10, "below")]
 
 

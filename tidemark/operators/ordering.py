@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.columns import column
 from tidemark.sources.scratch import written
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
+_BINS = 1 << 16
 
 
 def number_rows(
@@ -45,15 +47,52 @@ def number_rows(
     return numbered.withColumn(out, (shift + local + first).cast("bigint")).drop("_part", "_at")
 
 
-def exact_median(df: DataFrame, value: str, tie_break: Sequence[str]) -> DataFrame:
-    """Median of a whole column as a one-row frame, by position in the sorted column."""
-    present = df.select(value, *tie_break).filter(F.col(value).isNotNull())
-    placed = number_rows(present, "_pos", [value, *tie_break])
-    n = placed.agg(F.count("*")).scalar()
-    low, high = F.floor((n + 1) / 2), F.ceil((n + 1) / 2)
-    return placed.filter((F.col("_pos") >= low) & (F.col("_pos") <= high)).agg(
-        F.avg(value).alias("median")
-    )
+def exact_median(df: DataFrame, value: str) -> DataFrame:
+    """Median of a whole column as a one-row frame, found by counting: no sort, no copy.
+
+    A first pass counts values by 64 logarithmic bins for each power of two, so
+    that outliers cost nothing; each later pass splits the bin of the middle
+    into 65,536 of equal width. A pass narrows the values by its bins, so two or
+    three scans do, and a value that holds most rows ends it at once. Only the
+    bin of the middle, two at most, reaches the driver. NULL is left out, NaN is
+    the largest value, and without any value the median is NULL. ``df`` is read
+    once per pass: write it first where that is dear.
+    """
+    rows = df.select(F.col(value).alias("v")).filter(F.col("v").isNotNull())
+    one, other = _middle(rows)
+    schema = StructType([StructField(value, df.schema[value].dataType)])
+    return df.sparkSession.createDataFrame([(one,), (other,)], schema).agg(F.avg(value).alias("median"))
+
+
+def _middle(rows: DataFrame) -> tuple:
+    """The two middle values of ``v``: one value twice where their number is odd."""
+    ranks, passed, part, bin_of = None, 0, rows, _log_bin(F.col("v").cast("double"))
+    while True:
+        bins = part.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        counted = bins.select("*", F.sum("n").over(Window.orderBy("bin")).alias("upto"), F.sum("n").over(Window.partitionBy()).alias("all"))
+        first, second = [F.lit(r - passed) for r in ranks] if ranks else [F.floor((F.col("all") + i) / 2) for i in (1, 2)]
+        holds = lambda rank: (rank > F.col("upto") - F.col("n")) & (rank <= F.col("upto"))
+        found = counted.filter(holds(first) | holds(second)).orderBy("bin").collect()
+        if not found:
+            return None, None
+        if len(found) == 2:  # neighbours in different bins
+            return found[0]["high"], found[1]["low"]
+        at = found[0]
+        low, high = at["low"], at["high"]
+        if low == high or low != low:
+            return low, low
+        ranks = ranks or [(at["all"] + 1) // 2, (at["all"] + 2) // 2]
+        passed += at["upto"] - at["n"]
+        part = rows.filter(F.col("v").between(F.lit(low), F.lit(high)))
+        away = lambda x: (x - F.lit(low)).cast("double")
+        bin_of = F.floor(away(F.col("v")) / away(F.lit(high)) * _BINS)
+
+
+def _log_bin(x: Column) -> Column:
+    """Number that rises with a double: 64 steps per power of two on both sides of zero; NaN last."""
+    steps = F.floor(F.least(F.log2(F.abs(x)), F.lit(1100.0)) * 64) + 1075 * 64 + 1
+    signed = F.when(x > 0, steps).when(x < 0, -steps).otherwise(0)
+    return F.when(F.isnan(x), 1 << 20).otherwise(signed)
 
 
 def running_total(

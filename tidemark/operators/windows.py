@@ -52,11 +52,9 @@ def period_growth(df: DataFrame, groups: Sequence[str], period: str, measure: st
     )
 
 
-def magnitude_outliers(
-    df: DataFrame, measure: str, tie_break: Sequence[str], factor: float = 10.0,
-) -> DataFrame:
+def magnitude_outliers(df: DataFrame, measure: str, factor: float = 10.0) -> DataFrame:
     """Rows whose measure is ``factor`` times above or below the median of all rows."""
-    median = exact_median(df, measure, tie_break).scalar()
+    median = exact_median(df, measure).scalar()
     with_median = df.withColumn("median", median)
     size, middle = F.abs(measure), F.abs("median")
     far = (size >= middle * factor) | (size * factor <= middle)

@@ -461,7 +461,7 @@ def period_growth(t):
     """,
 )
 def magnitude_outliers(t):
-    far = W.magnitude_outliers(t("events").select("event_id", "value"), "value", ["event_id"])
+    far = W.magnitude_outliers(t("events").select("event_id", "value"), "value")
     return far.withColumn("median", F.round("median", 4))
 
 

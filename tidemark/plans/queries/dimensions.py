@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import exact_sum
 from tidemark.operators import dimensions as D
-from tidemark.operators.joins import as_of
+from tidemark.operators.joins import as_of, as_of_carried
 from tidemark.operators.sets import union_sources
 from tidemark.operators.windows import latest_per_key
 from tidemark.plans import medallion, warehouse
@@ -243,6 +243,24 @@ def scd2_asof_join(t):
     )
 
 
+@query(
+    "asof_carried",
+    f"""
+    WITH {VERSIONS_SQL},
+    facts AS (SELECT l_orderkey, l_linenumber, l_partkey AS part_id, CAST(l_shipdate AS DATE) + 9300 AS sold_on FROM lineitem)
+    SELECT f.*, dim_key, category, effective_date, end_date
+    FROM facts f LEFT JOIN versions ON part_id = product_id AND sold_on BETWEEN effective_date AND end_date
+    """,
+)
+def asof_carried(t):
+    """Each line with the product version in force, carried forward by date instead of joined by range."""
+    facts = t("lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("part_id"), F.date_add(F.to_date("l_shipdate"), 9300).alias("sold_on")
+    )
+    versions = _versions(t).select(F.col("product_id").alias("part_id"), "dim_key", "category", "effective_date", "end_date")
+    return as_of_carried(facts, versions, "part_id", "sold_on", ["l_orderkey", "l_linenumber"])
+
+
 @query(
     "keyed_upsert",
     """
