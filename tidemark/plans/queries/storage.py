@@ -14,6 +14,7 @@ from tidemark.operators.windows import latest_per_key
 from tidemark.plans.registry import query
 from tidemark.plans.views import SUBSCRIBERS_SQL, ntz, subscribers
 from tidemark.sources import scans, sinks
+from tidemark.sources.quarantine import load_or_quarantine, replay
 from tidemark.sources.scratch import new_folder, written
 from tidemark.streaming import jobs
 from tidemark.streaming.sources import record_stream
@@ -240,6 +241,33 @@ def split_stream(t):
     return rows.join(counted, F.col("status") == F.col("_status")).select("status", "sink_rows", "counted")
 
 
+@query(
+    "quarantine_replay",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'refused' WHEN o_orderkey % 7 = 0 THEN 'replayed' ELSE 'loaded' END AS state,
+           CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS o_custkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS o_totalprice
+    FROM orders
+    """,
+)
+def quarantine_replay(t):
+    """Orders as JSON lines, some cut short, some with a word for the price: each is loaded, replayed or still refused."""
+    path = new_folder(t.spark, "lines")
+    line = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
+    worded = F.to_json(F.struct("o_orderkey", F.lit("none").alias("o_totalprice")))
+    cut = F.substring(line, F.lit(1), F.length(line) - 1)
+    damaged = F.when(F.col("o_orderkey") % 11 == 0, worded).when(F.col("o_orderkey") % 7 == 0, cut).otherwise(line)
+    _orders(t).select(damaged.alias("value")).write.text(path)
+    loaded, refused = load_or_quarantine(t.spark, path, _ORDERS, "json")
+    replayed, left = replay(refused, lambda r: F.when(r.endswith("}"), r).otherwise(F.concat(r, F.lit("}"))), _ORDERS)
+    key = F.regexp_extract("record", '"o_orderkey":([0-9]+)', 1).cast("bigint")
+    states = [
+        loaded.withColumn("state", F.lit("loaded")), replayed.withColumn("state", F.lit("replayed")),
+        left.select(key.alias("o_orderkey"), F.lit("refused").alias("state")),
+    ]
+    every = states[0].unionByName(states[1]).unionByName(states[2], allowMissingColumns=True)
+    return every.select("o_orderkey", "state", "o_custkey", "o_totalprice")
+
+
 @query(
     "table_loads",
     """
