@@ -10,13 +10,42 @@ from tidemark.operators import history as H
 from tidemark.operators import metrics as M
 from tidemark.operators import search as S
 from tidemark.operators import vectors as V
+from tidemark.operators.join_keys import inferred_keys
 from tidemark.plans.registry import query
 from tidemark.plans.views import ntz, prop_k
+from tidemark.sources.tables import SCHEMAS
 
 WIDTH = 64  # fixed value: length of the driver vectors
 WORDS = ["thother", "whing", "oneaux", "xyzzy", "tion"]
 
 
+_SOLD = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _bare(column: str) -> str:
+    return column.partition("_")[2]
+
+
+def _same_name_pairs() -> list[tuple[str, str, str, str]]:
+    columns = [(table, field.split()[0]) for table in _SOLD for field in SCHEMAS[table].split(", ")]
+    return [(*a, *b) for a in columns for b in columns if a[0] != b[0] and _bare(a[1]) == _bare(b[1])]
+
+
+@query(
+    "inferred_join_keys",
+    " UNION ALL ".join(
+        f"""SELECT '{child}' AS child_table, '{c}' AS child_column, '{parent}' AS parent_table, '{p}' AS parent_column
+        WHERE (SELECT COUNT(DISTINCT {p}) >= 0.95 * COUNT(*) FROM {parent})
+        AND (SELECT AVG(CAST({c} IN (SELECT {p} FROM {parent} WHERE {p} IS NOT NULL) AS INTEGER)) >= 0.95
+             FROM (SELECT DISTINCT {c} FROM {child} WHERE {c} IS NOT NULL))"""
+        for child, c, parent, p in _same_name_pairs()
+    ),
+)
+def inferred_join_keys(t):
+    """Keys between the sales tables: one name after the prefix, and values that are found in the other table."""
+    return inferred_keys({name: t(name) for name in _SOLD}, _bare)
+
+
 @query(
     "keyword_search",
     "SELECT doc_id, lang, source, score FROM (SELECT *, ("
