@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -399,3 +400,33 @@ def test_pipeline(spark, docs):
         assert kept.columns == frame.columns
         assert stage(spark, empty_docs(spark), FOLDER).count() == 0
         kept.count()
+
+
+def test_worker_holds_one_model():
+    """A stage's model is let go when the next stage loads its own, before that is loaded."""
+    import weakref
+
+    from tidemark.llm.worker import held
+
+    class Thing:
+        pass
+
+    first = weakref.ref(held(("language", "test"), Thing))
+    assert held(("language", "test"), Thing) is first()
+    model = sentencepiece.load(PIECES)
+    assert first() is None and sentencepiece.load(PIECES) is model
+
+
+def test_pieces_are_worked_through_in_slices(monkeypatch):
+    """Slices keep all rows in order, null and long ones too; parts found in groups have the same ids."""
+    texts = [None, "", "abc def", "x" * 50, "é" * 9, None, "a b", "one two three four five six seven"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["a", "b"])
+    model, whole = sentencepiece.load(PIECES), sentencepiece.Unigram(sentencepiece.read_pieces(PIECES)).encode_all(texts)
+    for size in (1, 10, 30, 1000):
+        monkeypatch.setattr(sentencepiece, "STRETCH", size)
+        monkeypatch.setattr(sentencepiece, "PARTS_AT_ONCE", 2)
+        parts = list(sentencepiece.slices(batch, 1))
+        assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+        assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= size for p in parts)
+        model.memo.clear(), model.tails.clear()
+        assert [x.tolist() for x in model.encode_all(texts)] == [x.tolist() for x in whole]
