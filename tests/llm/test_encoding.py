@@ -402,6 +402,21 @@ def test_pipeline(spark, docs):
         kept.count()
 
 
+def test_token_encoder_joins_new_words(monkeypatch):
+    """New words go to the library joined, and a memo of two generations gives what the library gives."""
+    monkeypatch.setattr(token_store, "MEMO", 40)
+    monkeypatch.setattr(token_store, "STRETCH", 300)
+    encode = token_store.Encoder(BYTES)
+    pick = random.Random(7)
+    units = ["a", "b", " ", " ", " ", "\n", "\t", ".", ",", "'s", "1", "é", "\r", "中", " the", "<|endoftext|>", "　", "x" * 70]
+    texts = ["".join(pick.choices(units, k=pick.randint(0, 14))) for _ in range(2000)]
+    expected = [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, dtype=encode.dtype).tolist() for x in encode.encode_all(texts)] == expected
+    words, calls, ids = [f" w{k}" for k in range(1000)], [], encode._ids
+    monkeypatch.setattr(encode, "_ids", lambda parts: calls.extend(parts) or ids(parts))
+    assert b"".join(encode.encode_all(["".join(words)])) == b"".join(ids(words)) and len(calls) < 10
+
+
 def test_worker_holds_one_model():
     """A stage's model is let go when the next stage loads its own, before that is loaded."""
     import weakref
