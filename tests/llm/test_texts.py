@@ -1,6 +1,7 @@
 """Quality rules, SimHash, language and Order MinHash against brute force and awkward rows."""
 
 import hashlib
+import math
 from collections import Counter
 
 import duckdb
@@ -338,3 +339,23 @@ def test_quality_sql_on_a_source_with_junk(spark, tmp_path, percent):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert difference(QUERIES["op8_quality_rules"](spark, str(tmp_path)), con, SQL["op8_quality_rules"]) is None
+
+
+def test_language_counts_every_labelled_row(spark):
+    """Words at the end of long rows and in any of many rows are learnt, and the limit is that of all rows."""
+    long = "filler words " * 1000 + "zanzibar"
+    rows = [(k, long if k == 999 else f"plain sentence number and unique{'abcdefghij'[k % 10]} words", "en", "s") for k in range(1000)]
+    rows += [(2000, "andere sätze hier", "de", "s"), (2001, "noch ein satz", "de", "s")]
+    df = edge_docs(spark, rows)
+    units = {(r.kind, r.unit): r for r in language.fit(df).collect()}
+    assert (0, "zanzibar") in units and units[0, "plain"].halves == 3 and units[0, "zanzibar"].halves in (1, 2)
+    n, other = 999 * 6 + 2001, len({w for k, w in units if k == 0})
+    en = sum(1 for k, w in units if k == 0 and w not in "andere sätze hier noch ein satz".split())
+    assert units[0, "plain"].langs == ["de", "en"] and other == en + 6
+    assert abs(units[0, "plain"].scores[1] - math.log((999 + 0.5) / (n + 0.5 * en))) < 1e-9
+    found = language.with_limits(language.identify(df, df)).collect()
+    apart = {k: [round(r.known_apart, 4) for r in found if r._row.lang == k] for k in ("en", "de")}
+    for r in found:
+        low, high = np.percentile(apart[r.lang_pred], (25, 75))
+        assert abs(r.known_least - max(0.0, low - language.REACH * max(high - low, language.SPREAD))) < 1e-9
+        assert r.known_apart <= r.known + 1e-12
