@@ -432,6 +432,23 @@ def test_worker_holds_one_model():
     assert first() is None and sentencepiece.load(PIECES) is model
 
 
+def test_a_batch_holds_each_text_once(spark):
+    """Rows that keep their text are sent without a second copy of it; slices of a batch give their own texts."""
+    from tidemark.llm.worker import packed_with, texts_of
+
+    docs = edge_docs(spark)
+    kept, apart = packed_with(docs, ["doc_id", "text"], "text"), packed_with(docs, ["doc_id"], "text")
+    assert (kept.columns, apart.columns) == (["_row"], ["_row", "_text"])
+    texts = [r.text for r in docs.collect()]
+    for df in (kept, apart):
+        batches = df.toArrow().combine_chunks().to_batches()
+        assert [t for b in batches for t in texts_of(b, "text").to_pylist()] == texts
+        assert texts_of(batches[0].slice(2, 3), "text").to_pylist() == texts[2:5]
+    for decode in (True, False):
+        runs = [sentencepiece.encode_decode(docs, PIECES, keep=keep, decode=decode).select("_row.doc_id", "ids") for keep in (["doc_id", "text"], ["doc_id"])]
+        assert sorted(map(str, runs[0].collect())) == sorted(map(str, runs[1].collect()))
+
+
 def test_pieces_are_worked_through_in_slices(monkeypatch):
     """Slices keep all rows in order, null and long ones too; parts found in groups have the same ids."""
     texts = [None, "", "abc def", "x" * 50, "é" * 9, None, "a b", "one two three four five six seven"]

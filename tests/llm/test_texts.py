@@ -256,6 +256,21 @@ def test_language_backs_off_to_shorter_grams():
     assert model.predict("known")[0] == "a"
 
 
+def test_language_model_holds_scores_as_plain_numbers(monkeypatch):
+    """A unit costs its scores and its place in one table of names, not an object for each score."""
+    import tracemalloc
+
+    monkeypatch.setattr(language, "WORD_MEMO", 1000)
+    words, grams = {f"w{k}": k for k in range(10_000)}, {f"{k:05d}": 10_000 + k for k in range(40_000)}
+    scores = np.random.default_rng(5).normal(size=(50_000, 4))
+    tracemalloc.start()
+    model = language.Model(["a", "b", "c", "d"], words, grams, scores)
+    held = tracemalloc.get_traced_memory()[0] - model.table.nbytes
+    tracemalloc.stop()
+    assert held < 80 * len(scores)
+    assert model.backoff("00007") == tuple(scores[10_007].tolist())
+
+
 
 
 def test_order_minhash_edits_and_neighbours(docs):
