@@ -417,6 +417,21 @@ def test_token_encoder_joins_new_words(monkeypatch):
     assert b"".join(encode.encode_all(["".join(words)])) == b"".join(ids(words)) and len(calls) < 10
 
 
+def test_aged_memo_is_looked_up_and_not_gone_through():
+    """New parts are looked up in the aged memo; going through it would cost its whole size for each stretch."""
+
+    class Large(dict):
+        def __iter__(self):
+            raise AssertionError("gone through")
+
+    encode = token_store.Encoder(BYTES)
+    texts = ["the one é 日本 x " + "y" * 90 + ",  end. ", "the two", None, "the end"]
+    want = [np.array(e.ids, dtype=encode.dtype).tobytes() for e in encode.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    known = encode._ids([" two", "the"])
+    encode.aged = Large({f" filler{k}": b"" for k in range(1000)} | {" two": known[0], "the": known[1]})
+    assert list(encode.encode_all(texts)) == want and encode.memo[" two"] == known[0]
+
+
 def test_worker_holds_one_model():
     """A stage's model is let go when the next stage loads its own, before that is loaded."""
     import weakref
