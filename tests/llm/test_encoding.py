@@ -477,3 +477,11 @@ def test_pieces_are_worked_through_in_slices(monkeypatch):
         assert all(p.num_rows == 1 or sum(len((t or "").encode()) for t in p.column(1).to_pylist()) <= size for p in parts)
         model.memo.clear(), model.tails.clear()
         assert [x.tolist() for x in model.encode_all(texts)] == [x.tolist() for x in whole]
+
+
+def test_pipeline_encodes_and_decodes(spark, plan):
+    """The last stage runs the whole operator: its tasks return the decoded texts too."""
+    import corpus_pipeline
+
+    node = next(x for x in plan(corpus_pipeline.encode(spark, edge_docs(spark), FOLDER)).split("\n\n") if "MapInArrow" in x and "Arguments" in x)
+    assert "ids#" in node and "decoded#" in node
