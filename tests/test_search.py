@@ -227,3 +227,25 @@ def test_a_metric_name_counts_once(spark):
     changes = spark.createDataFrame([("Rev", "a", 1), ("rev", "b", 2)], "name string, expression string, seq int")
     rows = M.upsert_metrics(store, changes, F.lit("2024-01-01"), [F.desc("seq")]).collect()
     assert [(r.name, r.expression) for r in rows] == [("rev", "b")]
+
+
+def test_cells_send_each_query_once(spark, monkeypatch):
+    """A query is kept as one row whatever number of cells it probes, and sent to groups of cells, hot ones among them."""
+    counts, write = {}, V.written
+    monkeypatch.setattr(V, "written", lambda df, purpose: counts.setdefault(purpose, []).append(df.count()) or write(df, purpose))
+    for name, value in (("CHUNK", 16), ("QUERY_BLOCK", 5), ("TILE_BYTES", 2000)):
+        monkeypatch.setattr(V, name, value, raising=False)
+    values, df = vectors(spark, 200)
+    same = spark.createDataFrame([(1000 + i, [float(x) for x in values[7]]) for i in range(100)], "vec_id long, embedding array<float>")
+    odd = spark.createDataFrame([(9000, [1.0]), (9001, [2.0]), (9002, None)], "vec_id long, embedding array<float>")
+    index = V.build_cells(df.union(same).union(odd), cells=12)
+    queries = df.union(odd).filter("vec_id % 20 = 0 OR vec_id IN (7, 9001)").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    counts.clear()
+    found = V.search_cells(index, queries, 6, probes=12)
+    assert counts["probes"] == [13]
+    got = {}
+    for r in found.orderBy("query_id", F.desc("score"), "vec_id").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+    assert [score for _, score in got[7]] == [1.0] * 6
+    assert got[9000] == got[9001] == [(9000, 1.0), (9001, 1.0)]
+    assert [i for i, _ in got[20]] == brute(np.vstack([values, *[values[7:8]] * 100]), values[20], 6) and len(got) == 13
