@@ -249,3 +249,30 @@ def test_cells_send_each_query_once(spark, monkeypatch):
     assert [score for _, score in got[7]] == [1.0] * 6
     assert got[9000] == got[9001] == [(9000, 1.0), (9001, 1.0)]
     assert [i for i, _ in got[20]] == brute(np.vstack([values, *[values[7:8]] * 100]), values[20], 6) and len(got) == 13
+
+
+def test_postings_of_all_grams():
+    """All lists are coded and decoded at once as one by one, in slices of an array too; n-grams do not cross texts."""
+    lists = [[0], [0, 1, 2], [5, 127, 128, 300, 70_000, 70_001, 2**33], [3, 16_383, 16_384], [2**21]]
+    first = np.cumsum([0, *map(len, lists[:-1])])
+    coded = G._encoded_all(np.concatenate(lists), first)
+    assert coded.to_pylist() == [G.encoded(x) for x in lists]
+    for part, want in ((coded, lists), (coded.slice(1, 3), lists[1:4]), (coded.slice(0, 0), [])):
+        numbers, begins = G._decoded_all(part)
+        assert [numbers[a:b].tolist() for a, b in zip(begins, begins[1:])] == want
+    texts = ["ab", "", "bca", "é𝕊é", "abab", "b" * 300]
+    names, coded = G._inverted(texts)
+    holders = {x: [k for k, t in enumerate(texts) if x in t] for x in {t[k : k + n] for t in texts for n in (1, 2, 3) for k in range(len(t) - n + 1)}}
+    assert dict(zip(names, coded.to_pylist(), strict=True)) == {x: G.encoded(ks) for x, ks in holders.items()} and len(names) == len(holders)
+    assert G._inverted([""])[0] == G._inverted([])[0] == []
+
+
+def test_blocks_of_the_index_are_few_to_a_file(spark):
+    """No file holds many blocks, nor a block many characters, however many a task writes."""
+    import pyarrow.parquet as pq
+
+    docs = spark.range(300, numPartitions=1).select("id", F.repeat(F.lit("some words "), 5000).alias("text"))
+    index = G.build_grams(docs, "text", ["id"])
+    blocks = index.select(F.size("rows").alias("n"), F.aggregate("texts", F.lit(0), lambda a, x: a + F.length(x)).alias("chars")).collect()
+    assert sum(r.n for r in blocks) == 300 and max(r.chars for r in blocks) <= 1 << 20 and len(blocks) > 16
+    assert max(pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows for f in index.inputFiles()) <= 16
