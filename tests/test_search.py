@@ -276,3 +276,36 @@ def test_blocks_of_the_index_are_few_to_a_file(spark):
     blocks = index.select(F.size("rows").alias("n"), F.aggregate("texts", F.lit(0), lambda a, x: a + F.length(x)).alias("chars")).collect()
     assert sum(r.n for r in blocks) == 300 and max(r.chars for r in blocks) <= 1 << 20 and len(blocks) > 16
     assert max(pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows for f in index.inputFiles()) <= 16
+
+
+def test_many_queries_meet_tiles_and_keep_the_best(spark, monkeypatch, plan):
+    """Every vector a query, in many tiles: as brute force, with ties, repeated ids, other lengths and short sides; no packed pair goes through a join."""
+    for name, value in (("CHUNK", 16), ("QUERY_BLOCK", 5), ("TILE_BYTES", 2000)):
+        monkeypatch.setattr(V, name, value, raising=False)
+    values, df = vectors(spark, 150)
+    odd = spark.createDataFrame([(9000, [1.0]), (9001, [2.0]), (9002, None), (9003, [])], "vec_id long, embedding array<float>")
+    twice = df.filter("vec_id = 3")
+    everything = df.union(odd).union(twice)
+    queries = everything.select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("query"))
+    found = V.vector_topk(everything, queries, 4)
+    assert "Join" not in plan(found)
+    got = {}
+    for r in found.orderBy("query_id", F.desc("score"), "vec_id").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    near = {i: brute(np.vstack([values, values[3:4]]), values[i], 4) for i in range(150) if i not in (3, 5)}
+    assert {i: got[i] for i in near} == {i: [3 if x == 150 else x for x in ids] for i, ids in near.items()}
+    assert got[3] == [3, 3, 3, 3] and got[5] == [0, 1, 2, 3] and got[9000] == got[9001] == [9000, 9001]
+    assert V.vector_topk(df.limit(0), queries, 4).count() == 0 and set(got) == {*range(150), 9000, 9001}
+
+
+@pytest.mark.parametrize("most", [1, 10, 1 << 19])
+def test_best_matches_are_kept_by_score_and_id(monkeypatch, most):
+    monkeypatch.setattr(V, "TIES_AT_ONCE", most, raising=False)
+    rng = np.random.default_rng(5)
+    scores, ids = rng.integers(0, 4, size=(7, 60)) / 4, rng.permutation(60)
+    asked = V._Asked(np.arange(7), np.eye(7), None, 5)
+    for at in range(0, 60, 12):
+        asked.meet(ids[at : at + 12], scores[:, at : at + 12].T.copy(), -1)
+    order = [np.lexsort((ids, -row))[:5] for row in scores]
+    assert asked.found.tolist() == [ids[o].tolist() for o in order]
+    assert asked.scores.tolist() == [scores[k, o].tolist() for k, o in enumerate(order)]
