@@ -278,7 +278,8 @@ def vector_topk(
     doubles = lambda df: df.withColumn("vector", F.col("vector").cast("array<double>"))
     packed = doubles(asked).agg(F.collect_list(F.struct("id", "vector")).alias("q"))
     packed = written(packed.select(F.lit(0).alias("_block"), F.col("q.id").alias("query_ids"), F.col("q.vector").alias("queries")), "query-blocks")
-    chunks = doubles(searched).mapInArrow(_pack, _CHUNKS.format("array<double>")).withColumn("_of", F.lit(0))
+    # A literal would be folded, and the equality join with it.
+    chunks = doubles(searched).mapInArrow(_pack, _CHUNKS.format("array<double>")).select("*", F.explode(F.sequence(F.lit(0), F.lit(0))).alias("_of"))
     met = chunks.join(packed, F.col("_of") == F.col("_block")).select("ids", "vectors", "query_ids", "queries")
     return _ranked(met.mapInArrow(_scored(k), _FOUND), k)
 
